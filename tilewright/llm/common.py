@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that the Python operators work on at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Inside a regular-expression class: the white space of the contracts.
 SPACE = r"\x20\x09-\x0D"
 
@@ -143,7 +143,15 @@ def numbered(df: DataFrame, label: str, *classes: str) -> DataFrame:
     rows = keep(df.mapInArrow(number, schema), label)
     counts = rows.groupBy(*names, "_task").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*names).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*names, "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    on = [rows[c].eqNullSafe(offsets[c]) for c in (*names, "_task")]
+    offsets = counts.select(*(F.col(c).alias(f"_of_{c}") for c in (*names, "_task")), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*names, "_task")]
     joined = rows.join(offsets, on, "left")
-    return joined.select(*(rows[c] for c in df.columns), (F.col("_local") + F.col("_before")).alias("class_rank"))
+    return joined.select(*df.columns, (F.col("_local") + F.col("_before")).alias("class_rank"))
+
+
+def worker_cache() -> dict:
+    """What a Python worker keeps from one task to the next; may be empty at any time."""
+    import sys
+    import types
+
+    return sys.modules.setdefault("_tilewright_worker", types.ModuleType("_tilewright_worker")).__dict__

@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tilewright.llm.common import documents
 from tilewright.llm.exact_dedup import exact_dedup
 from tilewright.llm.mixing import MIX_SQL, mix
+from tilewright.llm.packing import pack
+from tilewright.llm.sharding import shard
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The file of an installed public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +35,16 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer_path())
+
+
+def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_source_mix)}
+    return {f.__name__: f for f in (op2_exact_dedup, op4_source_mix, op5_best_fit_pack, op8_shard)}
 
 
 def oracle_sql() -> dict[str, str]:

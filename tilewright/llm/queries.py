@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tilewright.llm.common import documents
 from tilewright.llm.exact_dedup import exact_dedup
+from tilewright.llm.jaccard_join import jaccard_join
 from tilewright.llm.mixing import MIX_SQL, mix
 from tilewright.llm.packing import pack
 from tilewright.llm.sharding import shard
@@ -31,6 +32,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 """
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(documents(spark, sf_dir))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -44,7 +49,7 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_source_mix, op5_best_fit_pack, op8_shard)}
+    return {f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op4_source_mix, op5_best_fit_pack, op8_shard)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -31,6 +32,24 @@ from tilewright.llm.common import blocks, keep, numbered, ranges, text_of, utf8,
 
 #: Words whose ids a worker remembers before it starts anew.
 REMEMBERED = 1 << 20
+#: Bytes of text that are encoded at once.
+ENCODED_BYTES = 8 << 20
+
+
+#: Words of printable ASCII without apostrophes and '<', and of the letters of Latin-1.
+PLAIN = re.compile(r"[!-&(-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Runs of letters, single digits, and runs of other characters of such words.
+PIECES = re.compile(r"[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def visible_bytes() -> dict[int, str]:
+    """The characters that byte-level models use: printable bytes stand for themselves, the others follow from U+0100."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+VISIBLE = visible_bytes()
 
 
 class WordEncoder:
@@ -45,6 +64,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.forget()
 
     def forget(self) -> None:
@@ -53,10 +73,23 @@ class WordEncoder:
         self.start = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def word_ids(self, word: str) -> list[int]:
+        """What the tokenizer gives for one word; for plain Latin words by its model alone.
+
+        Such words are already in normal form, their lower case doesn't depend on neighbours,
+        and PLAIN leaves out what its patterns treat specially.
+        """
+        if word.isascii() and word.isalpha():
+            return [t.id for t in self.model.tokenize(word.lower())]
+        if PLAIN.fullmatch(word):
+            pieces = PIECES.findall(word.lower())
+            return [t.id for p in pieces for t in self.model.tokenize(p.encode().decode("latin-1").translate(VISIBLE))]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
     def learn(self, words: list[str]) -> None:
         if len(self.place) + len(words) > REMEMBERED:
             self.forget()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found = [self.word_ids(w) for w in words]
         size = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))
         first = len(self.place)
@@ -91,7 +124,7 @@ def pieces_of(path: str, capacity: int):
             cache[path] = WordEncoder(path)
         encoder = cache[path]
         for batch in batches:
-            for part in blocks(batch, "text"):
+            for part in blocks(batch, "text", ENCODED_BYTES):
                 ids, at = encoder.encode(part.column(1))
                 n_ids = np.diff(at) + 1  # with the final 0
                 n_pieces = -(-n_ids // capacity)

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tilewright.llm.common import documents
 from tilewright.llm.exact_dedup import exact_dedup
 from tilewright.llm.jaccard_join import jaccard_join
+from tilewright.llm.language import identify
 from tilewright.llm.mixing import MIX_SQL, mix
 from tilewright.llm.packing import pack
 from tilewright.llm.sharding import shard
+from tilewright.llm.simhash import simhash
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -44,12 +46,20 @@ def op5_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash(documents(spark, sf_dir))
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op4_source_mix, op5_best_fit_pack, op8_shard)}
+    return {f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op4_source_mix, op5_best_fit_pack, op6_simhash, op8_shard, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -14,6 +14,7 @@ from tilewright.llm.mixing import MIX_SQL, mix
 from tilewright.llm.packing import pack
 from tilewright.llm.sharding import shard
 from tilewright.llm.simhash import simhash
+from tilewright.llm.suffix_dedup import suffix_dedup
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -58,8 +59,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op4_source_mix, op5_best_fit_pack, op6_simhash, op8_shard, op9_language_id)}
+    return {f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op4_source_mix, op5_best_fit_pack, op6_simhash, op8_shard, op9_language_id, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

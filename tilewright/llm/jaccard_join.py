@@ -368,7 +368,8 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_TOKENS)).cast("int").alias("parts"))
     sizes = sizes.withColumnRenamed("root", "r")
     placed = members.join(sizes, F.col("root") == F.col("r")).select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), "rep", "root", "parts")
-    sets = rows.select("id", "text").join(placed, F.col("id") == F.col("rep")).drop("id")
+    # merged at every size: what may link grows with the corpus
+    sets = rows.select("id", "text").hint("merge").join(placed, F.col("id") == F.col("rep")).drop("id")
     sets = sets.mapInArrow(_sets, "m1 long, m2 long, rep long, root long, parts int, k1 long, k2 long, n_shingles long, tokens binary")
     sets = sets.where("m1 = k1 and m2 = k2")
     home = F.pmod(F.xxhash64("rep", "k1"), F.col("parts").cast("long")).cast("int")

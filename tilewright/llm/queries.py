@@ -12,9 +12,11 @@ from tilewright.llm.jaccard_join import jaccard_join
 from tilewright.llm.language import identify
 from tilewright.llm.mixing import MIX_SQL, mix
 from tilewright.llm.packing import pack
+from tilewright.llm.quality import classify
 from tilewright.llm.sharding import shard
 from tilewright.llm.simhash import simhash
 from tilewright.llm.suffix_dedup import suffix_dedup
+from tilewright.llm.toxicity import grade
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -24,6 +26,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grade(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).drop("n_bytes", "fingerprint")
 
@@ -51,6 +57,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(documents(spark, sf_dir))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(documents(spark, sf_dir))
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir))
 
@@ -64,7 +74,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_jaccard_join, op4_source_mix, op5_best_fit_pack, op6_simhash, op8_shard, op9_language_id, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_exact_dedup, op3_jaccard_join, op4_source_mix, op5_best_fit_pack, op6_simhash, op7_quality, op8_shard, op9_language_id, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -123,7 +123,7 @@ def _index(parts: int):
 
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, "text", 8 << 20):
+            for part in blocks(batch, "text", 2 << 20):
                 sets, n = shingle_sets(*utf8(part.column(0)))
                 k1, k2 = signatures(sets, n)
                 first = np.unique(np.stack([k1, k2]), axis=1, return_index=True)[1]

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tilewright.llm.common import blocks, keep, numbered, ranges, text_of, utf8, worker_cache
 
 #: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 #: Bytes of text that are encoded at once.
 ENCODED_BYTES = 8 << 20
 

@@ -151,3 +151,23 @@ def test_cli(tmp_path, capsys):
     (tmp_path / "bad.toml").write_text("nonsense = 1\n")
     assert main(["clean", "--config", str(tmp_path / "bad.toml")]) == 1
     assert "ERROR: ValueError" in capsys.readouterr().err
+
+
+def test_compression():
+    payload = encoding.sparse_payload([1, 2], [3, 4])
+    assert encoding.decompress(encoding.compress(payload), "zstd", 10) == payload
+    assert encoding.decompress(payload, "none", 10) == payload
+    for bad in (("zstd", 9), ("lz4", 10)):
+        with pytest.raises(ValueError):
+            encoding.decompress(encoding.compress(payload), *bad)
+
+
+def test_crops(spark):
+    from tilewright.sources.png import decode
+
+    df = spark.createDataFrame([(0, 0, 5, 0xFF0000), (0, 0, 6, 0x00FF00), (1, 1, 0, 0x0000FF)], "x int, y int, pos int, rgb24 int")
+    labelled = spatial.components(spatial.world(df, 4), 0)
+    kept = spatial.artworks(spatial.component_stats(labelled), 2).where("skip_reason is null")
+    (row,) = spatial.crops(labelled, kept).collect()
+    assert row.name == "art_x1_y1_w2_h1.png"
+    assert decode(row.content)[0].tolist() == [[[255, 0, 0, 255], [0, 255, 0, 255]]]

@@ -132,3 +132,17 @@ def world_position(tile: Column, offset: Column, tile_size: int) -> Column:
 
 def artwork_name(x: Column, y: Column, w: Column, h: Column) -> Column:
     return F.format_string("art_x%d_y%d_w%d_h%d.png", x, y, w, h)
+
+
+def is_png(name: Column) -> Column:
+    return F.lower(name).endswith(".png")
+
+
+def mib_per_second(size: Column, seconds: Column) -> Column:
+    """Throughput; null where no time passed."""
+    return F.try_divide(size / float(1 << 20), seconds)
+
+
+def same_size(width: Column, height: Column, other_width: Column, other_height: Column) -> Column:
+    """Whether two images can be compared pixel by pixel; otherwise the new one replaces the old one."""
+    return (width == other_width) & (height == other_height)

@@ -60,3 +60,22 @@ def pairs_of_payload(payload: bytes, encoding_: str, count: int, tile_pixels: in
         raise ValueError("length or encoding of a dense record")
     found = [(i, v) for i, v in enumerate(payload) if v]
     return [i for i, _ in found], [v for _, v in found]
+
+
+def compress(payload: bytes, level: int = 3) -> bytes:
+    """A zstd frame of a record."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=level).compress(payload)
+
+
+def decompress(stored: bytes, compression: str, size: int) -> bytes:
+    """The record of a stored frame; ValueError if its size isn't the expected one."""
+    import zstandard
+
+    if compression not in ("none", "zstd"):
+        raise ValueError(f"no such compression: {compression}")
+    payload = stored if compression == "none" else zstandard.ZstdDecompressor().decompress(stored)
+    if len(payload) != size:
+        raise ValueError("size of a record")
+    return payload

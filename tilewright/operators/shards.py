@@ -71,3 +71,14 @@ def buckets(rows: DataFrame, per_bucket: int, *order: str) -> DataFrame:
 def upsert_meta(old: DataFrame, new: DataFrame) -> DataFrame:
     """Shard rows by name, the new ones replacing the old ones."""
     return old.join(new, "name", "left_anti").unionByName(new)
+
+
+def discover(overlay: DataFrame, state: DataFrame) -> DataFrame:
+    """Distinct names of the shards of either manifest."""
+    return overlay.select("name").union(state.select("name")).distinct()
+
+
+def encoding_stats(tiles: DataFrame, shard_tiles: int) -> DataFrame:
+    """sx, sy, sparse, dense (tiles of each encoding), largest (pixels of the fullest tile)."""
+    kinds = [F.count_if(F.col("encoding") == k).alias(k) for k in ("sparse", "dense")]
+    return in_shards(tiles, shard_tiles).groupBy("sx", "sy").agg(*kinds, F.max("count").alias("largest"))

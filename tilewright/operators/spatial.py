@@ -114,3 +114,33 @@ def mosaic_artworks(state: DataFrame, tile_size: int, d: int, least_pixels: int
     own = (cx >= tile_size) & (cx < 2 * tile_size) & (cy >= tile_size) & (cy < 2 * tile_size)
     stats = stats.where(own).withColumn("world_x", F.col("mx") * tile_size + x0 - tile_size).withColumn("world_y", F.col("my") * tile_size + y0 - tile_size)
     return artworks(stats.drop("component", "mx", "my"), least_pixels)
+
+
+def dilate(points: DataFrame, d: int) -> DataFrame:
+    """wx, wy of all places within the square of radius d around a point."""
+    steps = F.sequence(F.lit(-d), F.lit(d))
+    rows = points.select("wx", "wy", F.explode(steps).alias("dy")).select("wx", (F.col("wy") + F.col("dy")).alias("wy"), F.explode(steps).alias("dx"))
+    return rows.select((F.col("wx") + F.col("dx")).alias("wx"), "wy").distinct()
+
+
+def crops(labelled: DataFrame, kept: DataFrame, largest: int = 4096) -> DataFrame:
+    """name, content: an image of each kept drawing (component, world_x, world_y, w, h, name), transparent around it.
+
+    A drawing's pixels meet in one group, so drawings wider or higher than largest are left out.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    from tilewright.sources.png import encode
+
+    boxes = kept.where((F.col("w") <= largest) & (F.col("h") <= largest)).select("component", "world_x", "world_y", "w", "h", "name")
+    rows = labelled.join(boxes, "component").select("component", "name", "w", "h", (F.col("wx") - F.col("world_x")).alias("cx"), (F.col("wy") - F.col("world_y")).alias("cy"), "rgb24")
+
+    def run(key, table):
+        w, h = table.column("w")[0].as_py(), table.column("h")[0].as_py()
+        image = np.zeros((h, w, 4), np.uint8)
+        c = table.column("rgb24").to_numpy()
+        image[table.column("cy").to_numpy(), table.column("cx").to_numpy()] = np.stack([c >> 16 & 255, c >> 8 & 255, c & 255, np.full(len(c), 255)], axis=1)
+        return pa.table({"name": pa.array([table.column("name")[0].as_py()]), "content": pa.array([encode(image)], pa.binary())})
+
+    return rows.groupBy("component").applyInArrow(run, "name string, content binary")

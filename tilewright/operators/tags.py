@@ -93,3 +93,13 @@ def first_samples(rows: DataFrame, cls: str, order: str | Column, n: int = 20) -
 
 def class_histogram(rows: DataFrame, cls: str) -> DataFrame:
     return rows.groupBy(cls).agg(F.count("*").alias("n"))
+
+
+def slowest(rows: DataFrame, took: str, n: int = 10, *ties: str) -> DataFrame:
+    """The n rows that took longest."""
+    return rows.orderBy(F.desc(took), *ties).limit(n)
+
+
+def without_existing(rows: DataFrame, existing: DataFrame, key: str = "name") -> DataFrame:
+    """Rows whose output isn't there yet."""
+    return rows.join(existing.select(key).distinct(), key, "left_anti")

@@ -43,7 +43,7 @@ def black_summary(pixels: DataFrame, warn_share: float = 0.7) -> DataFrame:
     ratio = black / F.count("*")
     opaque = F.bool_and(F.col("alpha") == 255)
     return pixels.groupBy(*TILE).agg(
-        black.alias("black"), F.round(ratio, 9).alias("ratio"), opaque.alias("opaque"), (opaque & (ratio >= warn_share)).alias("warning")
+        black.alias("black"), ratio.alias("ratio"), opaque.alias("opaque"), (opaque & (ratio >= warn_share)).alias("warning")
     )
 
 

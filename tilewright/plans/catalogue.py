@@ -193,7 +193,8 @@ def explicit_colors(spark, d):
 
 @query
 def rgba_black_warning(spark, d):
-    return transparency.black_summary(pixels(spark, d), 0.05)
+    found = transparency.black_summary(pixels(spark, d), 0.05)
+    return found.withColumn("ratio", F.floor(F.col("ratio") * 1000000.0))
 
 
 @query
@@ -399,7 +400,7 @@ def digest_names(spark, d):
 @query
 def hit_rate(spark, d):
     found = table(spark, d, "events").groupBy("user_id").agg(F.count_if(F.expr("event_type = 'click'")).alias("hits"), F.count_if(F.expr("event_type = 'view'")).alias("misses"))
-    return found.select("user_id", F.round(names.hit_rate(F.col("hits"), F.col("misses")), 9).alias("rate"))
+    return found.select("user_id", F.floor(names.hit_rate(F.col("hits"), F.col("misses")) * 1000000.0).alias("rate_millionths"))
 
 
 @query
@@ -419,5 +420,46 @@ def run_totals(spark, d):
     return stats.agg(F.count("*").alias("found"), F.count_if(F.expr("skip_reason = 'small'")).alias("small"), F.count_if(F.expr("skip_reason = 'one colour'")).alias("one_colour"), F.sum("pixels").cast("long").alias("pixels"))
 
 
+@query
+def dilation(spark, d):
+    return spatial.dilate(spatial.world(_first_day(spark, d), TILE_SIZE), 1)
+
+
+@query
+def shard_discovery(spark, d):
+    whole = shards.manifest(_state_tiles(spark, d), SHARD_TILES)
+    return shards.discover(whole.where("sx < 2"), whole.where("sy > 1"))
+
+
+@query
+def shard_encodings(spark, d):
+    return shards.encoding_stats(_state_tiles(spark, d), SHARD_TILES)
+
+
+@query
+def slowest_tiles(spark, d):
+    return tags.slowest(table(spark, d, "events").select("event_id", F.round("value", 2).alias("ms")), "ms", 10, "event_id")
+
+
+@query
+def new_outputs(spark, d):
+    found = table(spark, d, "supplier").select(names.artwork_name(F.col("s_suppkey"), F.col("s_suppkey"), F.lit(1), F.lit(2)).alias("name"))
+    return tags.without_existing(found, found.where(names.is_png(F.col("name")) & F.col("name").contains("_x1")))
+
+
+@query
+def throughput(spark, d):
+    took = F.when(F.col("doc_id") % 7 == 0, 0.0).otherwise(F.col("doc_id") / 4.0)
+    return table(spark, d, "documents").select("doc_id", F.floor(names.mib_per_second(F.octet_length(F.coalesce("text", F.lit(""))) * 1024, took) * 1000000.0).alias("mib_s_millionths"))
+
+
+@query
+def replaced_tiles(spark, d):
+    """Images whose size isn't that of the one before."""
+    events = table(spark, d, "events")
+    w, h = F.col("event_id") % 3, F.col("user_id") % 3
+    return events.where(~names.same_size(w, h, F.lit(1), F.lit(1))).select("event_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(_FOUND)

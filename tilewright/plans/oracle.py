@@ -122,7 +122,7 @@ def oracle_sql() -> dict[str, str]:
         "rgb_transparency_none": _with(_PX) + _transparent("rgb24 = 0"),
         "explicit_colors": _with(_PX) + _transparent("rgb24 IN (0, 419430, 4194300)"),
         "rgba_black_warning": _with(_PX)
-        + """SELECT tag_ts, x, y, count(*) FILTER (WHERE rgb24 = 0) AS black, round(count(*) FILTER (WHERE rgb24 = 0) / count(*), 9) AS ratio,
+        + """SELECT tag_ts, x, y, count(*) FILTER (WHERE rgb24 = 0) AS black, CAST(floor(count(*) FILTER (WHERE rgb24 = 0) / count(*) * 1000000.0::DOUBLE) AS BIGINT) AS ratio,
   bool_and(alpha = 255) AS opaque, bool_and(alpha = 255) AND count(*) FILTER (WHERE rgb24 = 0) / count(*) >= 0.05::DOUBLE AS warning FROM px GROUP BY ALL""",
         "partial_alpha": _with(_PX) + "SELECT tag_ts, x, y, count(*) AS partial FROM px WHERE event_id % 97 = 0 GROUP BY ALL",
         "tile_encoding": base
@@ -194,10 +194,20 @@ SELECT name, CAST(row_number() OVER (ORDER BY prefix, kind, len, number, name) A
   count(*) FILTER (WHERE skip_reason = 'one colour') AS one_colour, CAST(sum(pixels) AS BIGINT) AS pixels FROM art""",
         "digest_check": "SELECT doc_id, sha256(coalesce(text, '')) AS digest FROM documents",
         "digest_names": "SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN sha256(coalesce(text, '')) END AS digest FROM documents",
-        "hit_rate": """SELECT user_id, round(coalesce(h / nullif(h + m, 0), 0), 9) AS rate FROM
+        "hit_rate": """SELECT user_id, CAST(floor(coalesce(h / nullif(h + m, 0), 0) * 1000000.0::DOUBLE) AS BIGINT) AS rate_millionths FROM
   (SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS h, count(*) FILTER (WHERE event_type = 'view') AS m FROM events GROUP BY user_id)""",
         "byte_sizes": """SELECT doc_id, CASE WHEN n >= 1024 ** 3 THEN printf('%.1f GiB', round(n / 1024.0 ** 3, 1)) WHEN n >= 1024 ** 2 THEN printf('%.1f MiB', round(n / 1024.0 ** 2, 1))
   WHEN n >= 1024 THEN printf('%.1f KiB', round(n / 1024.0, 1)) ELSE printf('%d B', n) END AS size FROM (SELECT doc_id, strlen(coalesce(text, '')) * 1000 AS n FROM documents)""",
         "shard_lists": "SELECT n_nationkey, unnest(['s0001_0002', printf('s%04d_%04d', n_nationkey, n_regionkey)]) AS name FROM nation",
+        "dilation": _with(_PX, _OVERLAY, _FIRST, _WORLD)
+        + "SELECT DISTINCT wx + dx AS wx, wy + dy AS wy FROM world, (VALUES (-1), (0), (1)) AS a(dx), (VALUES (-1), (0), (1)) AS b(dy)",
+        "shard_discovery": tiled + "SELECT name FROM shards WHERE sx < 2 UNION SELECT name FROM shards WHERE sy > 1",
+        "shard_encodings": tiled
+        + """SELECT CAST(x // 2 AS INT) AS sx, CAST(y // 2 AS INT) AS sy, count(*) FILTER (WHERE encoding = 'sparse') AS sparse,
+  count(*) FILTER (WHERE encoding = 'dense') AS dense, max(count) AS largest FROM tiles GROUP BY x // 2, y // 2""",
+        "slowest_tiles": "SELECT event_id, round(value, 2) AS ms FROM events ORDER BY ms DESC, event_id LIMIT 10",
+        "new_outputs": """SELECT name FROM (SELECT printf('art_x%d_y%d_w1_h2.png', s_suppkey, s_suppkey) AS name FROM supplier) WHERE NOT contains(name, '_x1')""",
+        "throughput": """SELECT doc_id, CAST(floor(CASE WHEN doc_id % 7 <> 0 THEN strlen(coalesce(text, '')) * 1024 / 1048576.0::DOUBLE / (doc_id / 4.0::DOUBLE) END * 1000000.0::DOUBLE) AS BIGINT) AS mib_s_millionths FROM documents""",
+        "replaced_tiles": "SELECT event_id FROM events WHERE NOT (event_id % 3 = 1 AND user_id % 3 = 1)",
     }
     return out

@@ -45,6 +45,22 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir))
 
 
+OP3_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM t),
+sets AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n, md5(array_to_string(list_sort(g), chr(10))) AS sig FROM s),
+x AS (SELECT doc_id, unnest(g) AS sh FROM s),
+shared_with AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b, p.sig AS a_sig, q.sig AS b_sig FROM shared_with JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach(id, root) AS (SELECT doc_id, doc_id FROM sets UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id),
+partners AS (SELECT a, count(DISTINCT b_sig) FILTER (WHERE b_sig <> a_sig) AS n_links FROM links GROUP BY a)
+SELECT s.doc_id, s.n AS n_shingles, min(r.root) AS component_id, coalesce(any_value(p.n_links), 0) AS n_links
+FROM sets s JOIN reach r ON r.id = s.doc_id LEFT JOIN partners p ON p.a = s.doc_id GROUP BY s.doc_id, s.n
+"""
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -78,4 +94,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op4_source_mix": MIX_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op3_jaccard_join": OP3_SQL, "op4_source_mix": MIX_SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TILE = ["tag_ts", "x", "y"]
@@ -22,13 +22,14 @@ def rgb_transparency(
     if mode == "none":
         return pixels.withColumn("transparent", plain)
     corners = [0, tile_size - 1, tile_size * (tile_size - 1), tile_size * tile_size - 1]
-    at = [F.max(F.when(F.col("pos") == p, F.col("rgb24"))).alias(f"_c{i}") for i, p in enumerate(corners)]
-    tiles = pixels.groupBy(*TILE).agg(*at)
+    # one exchange by tile, which has tile_size squared pixels; pixels are decoded once
+    tile = Window.partitionBy(*TILE)
+    at = {f"_c{i}": F.max(F.when(F.col("pos") == p, F.col("rgb24"))).over(tile) for i, p in enumerate(corners)}
+    out = pixels.withColumns(at)
     same = (F.col("_c0") == F.col("_c1")) & (F.col("_c0") == F.col("_c2")) & (F.col("_c0") == F.col("_c3"))
-    tiles = tiles.select(*TILE, F.when(same, F.col("_c0")).alias("corner"))
-    share = pixels.join(tiles, TILE).groupBy(*TILE).agg(F.max("corner").alias("_corner"), (F.count_if(F.col("rgb24") == F.col("corner")) / F.count("*")).alias("_share"))
-    out = pixels.join(share, TILE)
-    dominant = F.coalesce((F.col("rgb24") == F.col("_corner")) & (F.col("_share") >= least_share), F.lit(False))
+    is_corner = F.coalesce(same & (F.col("rgb24") == F.col("_c0")), F.lit(False))
+    share = F.sum(is_corner.cast("long")).over(tile) / F.count("*").over(tile)
+    dominant = is_corner & (share >= least_share)
     return out.withColumn("transparent", plain | dominant).select(*pixels.columns, "transparent")
 
 

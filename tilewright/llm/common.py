@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -45,6 +46,9 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    # the shuffle files of plans that have run go once the driver's objects for them are collected
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._tilewright_path = path
     return out
@@ -57,6 +61,11 @@ def drop(df: DataFrame) -> None:
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keeps what goes to Python at once to 8 MB (longer texts alone), whatever the length of the rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def wide(spark: SparkSession) -> int:
     """Partitions for work that Python does in memory."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -94,8 +103,8 @@ def cut(data: np.ndarray, at: np.ndarray) -> list[bytes]:
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit words (the finaliser of splitmix64)."""
-    x = x.astype(np.uint64, copy=True)
-    x ^= x >> np.uint64(30)
+    x = x.astype(np.uint64, copy=False)
+    x = x ^ (x >> np.uint64(30))
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
     x *= np.uint64(0x94D049BB133111EB)
@@ -110,9 +119,11 @@ def ranges(counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(starts, counts)
 
 
-def numbered(df: DataFrame, label: str, *classes: str) -> DataFrame:
+def numbered(df: DataFrame, label: str, *classes: str, run=None, fields: str | None = None) -> DataFrame:
     """Adds class_rank (0, 1, ... within each combination of the class columns) without sorting a class.
 
+    With run and fields the rows are those of df.mapInArrow(run, fields), made in the same Python worker.
+
     Every task numbers its own rows of each class; the tasks' counts, one row per task and
     class, are summed up to offsets. The order is that of the tasks of one written table.
     """
@@ -120,13 +131,14 @@ def numbered(df: DataFrame, label: str, *classes: str) -> DataFrame:
     from pyspark.sql.types import LongType, StructField, StructType
 
     names = list(classes)
-    schema = StructType([*df.schema.fields, StructField("_task", LongType()), StructField("_local", LongType())])
+    made = StructType.fromDDL(fields) if fields else df.schema
+    schema = StructType([*made.fields, StructField("_task", LongType()), StructField("_local", LongType())])
 
     def number(batches):
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), {}
-        for batch in batches:
+        for batch in run(batches) if run else batches:
             if not batch.num_rows:
                 continue
             keys = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names), strict=True))
@@ -146,7 +158,7 @@ def numbered(df: DataFrame, label: str, *classes: str) -> DataFrame:
     offsets = counts.select(*(F.col(c).alias(f"_of_{c}") for c in (*names, "_task")), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*names, "_task")]
     joined = rows.join(offsets, on, "left")
-    return joined.select(*df.columns, (F.col("_local") + F.col("_before")).alias("class_rank"))
+    return joined.select(*made.names, (F.col("_local") + F.col("_before")).alias("class_rank"))
 
 
 def worker_cache() -> dict:

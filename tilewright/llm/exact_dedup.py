@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, cut, keep, text_of, utf8
+from tilewright.llm.common import blocks, cut, keep, small_batches, text_of, utf8
 
 #: The four largest primes below 2**31, and a base for each.
 PRIMES = np.array([2147483647, 2147483629, 2147483587, 2147483579], np.int64)
@@ -160,6 +160,7 @@ def exact_dedup(docs: DataFrame, bits: int = 62) -> DataFrame:
     bits narrows the two fingerprint words, for tests that need collisions. Returns doc_id,
     keep_id, group_size, kept, text_sha256, n_bytes, fingerprint.
     """
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     key = ["f1", "f2", "n_bytes"]
     fields = "doc_id long, f1 long, f2 long, n_bytes long, text_sha256 string"

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, drop, keep, mix64, ranges, text_of, utf8, wide
+from tilewright.llm.common import blocks, drop, keep, mix64, ranges, small_batches, text_of, utf8, wide
 from tilewright.llm.components import components
 from tilewright.llm.shingles import shingle_sets
 
@@ -356,6 +356,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     n_links counts the other sets (not their copies) that the row's set links with.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     text = text_of()
     # rows without a doc_id take part under an id of their text
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("id"), text.alias("text"))

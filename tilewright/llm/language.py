@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, ranges, text_of, utf8
+from tilewright.llm.common import blocks, ranges, small_batches, text_of, utf8
 
 #: Bytes of a window at prediction, and in training.
 WINDOW, TRAIN_WINDOW = 256, 96
@@ -217,6 +217,7 @@ def _predict(languages: list[str], p: dict[str, np.ndarray]):
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row of docs(doc_id, text, lang)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_of().alias("text"), "lang")
     model = fit(rows.where("not held_out and doc_id is not null and lang is not null and text <> ''"), sample)
     if model is None:

@@ -28,12 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, keep, numbered, ranges, text_of, utf8, worker_cache
+from tilewright.llm.common import blocks, keep, numbered, ranges, small_batches, text_of, utf8, worker_cache
 
-#: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 1 << 18
+#: Words whose ids a worker remembers before it starts anew (those of one block come on top).
+REMEMBERED = 1 << 19
 #: Bytes of text that are encoded at once.
-ENCODED_BYTES = 8 << 20
+ENCODED_BYTES = 4 << 20
 
 
 #: Words of printable ASCII without apostrophes and '<', and of the letters of Latin-1.
@@ -87,8 +87,6 @@ class WordEncoder:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def learn(self, words: list[str]) -> None:
-        if len(self.place) + len(words) > REMEMBERED:
-            self.forget()
         found = [self.word_ids(w) for w in words]
         size = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))
@@ -104,11 +102,10 @@ class WordEncoder:
         words = pc.dictionary_encode(split.flatten())
         distinct = words.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.place]
-        if new:
-            before = len(self.place)
-            self.learn(new)
-            if len(self.place) != before + len(new):  # it started anew
-                self.learn([w for w in distinct if w not in self.place])
+        if len(self.place) + len(new) > REMEMBERED:
+            self.forget()
+            new = distinct
+        self.learn(new)
         place = np.fromiter((self.place[w] for w in distinct), np.int64, len(distinct))
         nth = place[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
         size = self.size[nth]
@@ -274,9 +271,10 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048) -> DataFrame:
 
     path: the tokenizer's file, which the executors read (ship it with --files, or install it).
     """
+    small_batches(docs.sparkSession)
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long"
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = keep(numbered(narrow.mapInArrow(pieces_of(path, capacity), fields), "pieces", "length"), "ranked")
+    rows = keep(numbered(narrow, "pieces", "length", run=pieces_of(path, capacity), fields=fields), "ranked")
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     fixed, left = dominant_sets(counts, capacity)
     table = slots(fixed + best_fit(left, capacity))

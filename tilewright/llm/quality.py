@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, mix64, text_of, utf8
+from tilewright.llm.common import blocks, mix64, small_batches, text_of, utf8
 from tilewright.llm.word_features import Words
 
 LABELLERS = ("adjacent repeats", "distinct words", "capitals", "symbols", "bars", "word length", "short words", "sentence marks")
@@ -153,6 +153,7 @@ def _scores(model):
 
 def fit(docs: DataFrame, sample: int = SAMPLE):
     """(weights, bias) learned from docs(text); None if there is nothing to learn from."""
+    small_batches(docs.sparkSession)
     texts = docs.select(text_of().alias("text"))
     found = texts.mapInArrow(_patterns, "pattern long").groupBy("pattern").agg(F.count("*").alias("n")).collect()  # 3**8 rows at most
     total = sum(r["n"] for r in found)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import BLOCK_BYTES, keep, mix64, text_of, wide
+from tilewright.llm.common import BLOCK_BYTES, keep, mix64, small_batches, text_of, wide
 from tilewright.llm.shingles import shingle_hashes, word_hashes
 
 BITS = 128
@@ -156,6 +156,7 @@ def simhash(docs: DataFrame, radius: int = 3, every: int = 50) -> DataFrame:
     the beginning of the next row's text. n_near: for a doc_id divisible by every, the number
     of other rows whose print is within radius; null for the other rows.
     """
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     order = [F.col("doc_id").desc_nulls_last()]
     dealt = narrow.repartitionByRange(wide(docs.sparkSession), *order).sortWithinPartitions(*order, "text")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, text_of, utf8
+from tilewright.llm.common import blocks, small_batches, text_of, utf8
 from tilewright.llm.word_features import Words
 
 PREFIXES = (4, 5, 6)
@@ -167,5 +167,6 @@ def _graded(model):
 
 def grade(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, severity (expected), p_toxic, grade, toxic for each row of docs(doc_id, text)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(_graded(fit(docs, labels, sample)), "doc_id long, severity double, p_toxic double, grade int, toxic boolean")

@@ -37,7 +37,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     kept = found.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
     body = F.regexp_replace(text_of(), f"[{SPACE}]+", " ")
     rows = docs.withColumn("_sha_", F.sha2(body.cast("binary"), 256))
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("_sha_") == F.col("kept_sha")), "left_semi")
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["_sha_"] == kept["kept_sha"]), "left_semi")
     if not found.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
         rows = rows.dropDuplicates(["doc_id", "_sha_"])  # repeated rows
     return rows.drop("_sha_")
@@ -50,15 +50,15 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id all stay if one does.
     """
     firsts = jaccard_join(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    return docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    return docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["first_id"]), "left_semi")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the copies of a row are alike."""
     # rows with the same doc_id and source are taken alike
     copies = mix(docs).where("copies > 0").select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("copies").cast("int").alias("_copies_")).distinct()
-    rows = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("mix_id")) & F.col("source").eqNullSafe(F.col("mix_source")))
-    return rows.withColumn("_copy_", F.explode(F.sequence(F.lit(1), F.col("_copies_")))).select(*docs.columns)
+    rows = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mix_id"]) & docs["source"].eqNullSafe(copies["mix_source"]))
+    return rows.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), copies["_copies_"])).alias("_copy_")).drop("_copy_")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

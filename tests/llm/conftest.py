@@ -34,7 +34,7 @@ def odd(spark):
         (13, prose(4, 60), None, "s4"),
         (14, "12 34 !!", "en", "s4"),
     ]
-    extra = {"size": 1, "kept": 2, "row": 3, "id": 4, "pos": 5, "key": 6, "class": 7, "_task": 8, "root": 9, "score": 10, "u": 11, "sha": 12}
+    extra = {"size": 1, "kept": 2, "row": 3, "id": 4, "pos": 5, "key": 6, "class": 7, "_task": 8, "root": 9, "score": 10, "u": 11, "sha": 12, "kept_id": 13, "first_id": 14, "mix_id": 15, "copies": 16}
     schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{k}` int" for k in extra)
     return spark.createDataFrame([(*r, *extra.values()) for r in rows], schema).repartition(3)
 

@@ -48,6 +48,8 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     # the shuffle files of plans that have run go once the driver's objects for them are collected
     gc.collect()
+    spark.range(1).collect()  # the scheduler holds on to its last job
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # its events hold the plan
     spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._tilewright_path = path

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tilewright.llm.blobs import blob_batch, by_kind, dealt, gathered
 from tilewright.llm.common import blocks, drop, keep, mix64, ranges, small_batches, text_of, utf8, wide
 from tilewright.llm.components import components
 from tilewright.llm.shingles import shingle_sets
@@ -66,33 +67,6 @@ def signatures(sets: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.nd
     return k1, k2
 
 
-def dealt(pid: np.ndarray, *columns: np.ndarray):
-    """(pid, blob) for each pid: its entries' columns, one after another."""
-    order = np.argsort(pid.astype(np.uint16) if pid.max(initial=0) < 1 << 16 else pid, kind="stable")
-    pid, columns = pid[order], [c[order] for c in columns]
-    cuts = np.flatnonzero(np.diff(pid)) + 1
-    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pid)], strict=True):
-        if b > a:
-            yield int(pid[a]), b"".join(c[a:b].tobytes() for c in columns)
-
-
-def gathered(blobs: list[bytes], types: tuple) -> list[np.ndarray]:
-    """The columns of all blobs of dealt()."""
-    width = sum(np.dtype(t).itemsize for t in types)
-    out: list[list[np.ndarray]] = [[] for _ in types]
-    for blob in blobs:
-        n, at = len(blob) // width, 0
-        for column, t in zip(out, types, strict=True):
-            column.append(np.frombuffer(blob, t, n, at))
-            at += n * np.dtype(t).itemsize
-    return [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(out, types, strict=True)]
-
-
-def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    kind, pid, blob = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(pid, pa.int32()), pa.array(blob, pa.binary())], names=["kind", "pid", "blob"])
-
-
 def views(sets: list[np.ndarray], n: np.ndarray, k1: np.ndarray, k2: np.ndarray):
     """Units (a set in a view), their sizes, and the tokens that they send."""
     unit, size, sent, tokens = [], [], [], []
@@ -140,25 +114,16 @@ def _index(parts: int):
                 rows += [(3, p, b) for p, b in dealt((seen % np.uint64(parts)).astype(np.int64), seen)]
                 token, of = token[~common], of[~common]
                 rows += [(0, p, b) for p, b in dealt((token % np.uint64(parts)).astype(np.int64), token, of)]
-                yield _batch(rows)
+                yield blob_batch(rows)
 
     return run
 
 
-def _by_pid(batches):
-    """The blobs of a partition, by kind."""
-    found: dict[int, list[bytes]] = {}
-    for batch in batches:
-        for kind, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            found.setdefault(kind, []).append(blob)
-    return found
-
-
 def _count(parts: int):
     """Kind 4: (unit, token, count) of shared tokens, to the unit's part."""
 
     def run(batches):
-        found = _by_pid(batches)
+        found = by_kind(batches)
         token, unit = gathered(found.get(0, []), (np.uint64, np.uint64))
         (last,) = gathered(found.get(3, []), (np.uint64,))
         found.clear()
@@ -173,7 +138,7 @@ def _count(parts: int):
         count = np.repeat(count, n)
         shared = count > 1
         token, unit, count = token[shared], unit[shared], count[shared]
-        yield _batch([(4, p, b) for p, b in dealt(((unit >> np.uint64(2)) % np.uint64(parts)).astype(np.int64), unit, token, count)])
+        yield blob_batch([(4, p, b) for p, b in dealt(((unit >> np.uint64(2)) % np.uint64(parts)).astype(np.int64), unit, token, count)])
 
     return run
 
@@ -182,7 +147,7 @@ def _prefixes(parts: int):
     """Kind 5: (token, least class here) of the prefixes of sets that aren't settled, to the token's part. Kind 6: edges to that class."""
 
     def run(batches):
-        found = _by_pid(batches)
+        found = by_kind(batches)
         unit, size, sent = gathered(found.get(1, []), (np.uint64, np.uint32, np.uint32))
         unit, first = np.unique(unit, return_index=True)
         size, sent = size[first].astype(np.int64), sent[first].astype(np.int64)
@@ -202,7 +167,7 @@ def _prefixes(parts: int):
         take = np.arange(len(of)) - start[nth] < room[nth]
         token, of, edges = starred(token[take], of[take] & ~_VIEW)
         rows = [(5, p, b) for p, b in dealt((token % np.uint64(parts)).astype(np.int64), token, of)]
-        yield _batch(rows + [(6, p, b) for p, b in dealt((edges[:, 0] % np.uint64(parts)).astype(np.int64), edges[:, 0], edges[:, 1])])
+        yield blob_batch(rows + [(6, p, b) for p, b in dealt((edges[:, 0] % np.uint64(parts)).astype(np.int64), edges[:, 0], edges[:, 1])])
 
     return run
 
@@ -220,7 +185,7 @@ def starred(token: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _stars(batches):
     """The edges of all tokens' buckets."""
-    found = _by_pid(batches)
+    found = by_kind(batches)
     edges = starred(*gathered(found.get(5, []), (np.uint64, np.uint64)))[2]
     more = np.stack(gathered(found.get(6, []), (np.uint64, np.uint64)), axis=1)
     pairs = np.concatenate([edges, more]).view(np.int64)

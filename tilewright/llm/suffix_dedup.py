@@ -9,8 +9,8 @@ wherever the string occurs. Equal texts are one class, of which only the first r
    that occur in several classes.
 2. Segments. Around each such anchor the bytes of all strings that it can be the anchor of
    are a segment. Equal segments of a task are sent once, with the least doc_id.
-3. Shards. The segments of an anchor that aren't alike form a shard (large sets are parted by
-   longer cores first, down to single strings). Its suffix array by induced sorting and the
+3. Shards. Segments meet by a core that their strings share. Where they aren't alike they form
+   a shard (large sets part by longer cores, down to single strings). Its suffix array by induced sorting and the
    permuted common prefixes give each string its least doc_id.
 4. Every occurrence looks up its segment; a class collects the strings to remove.
 
@@ -29,18 +29,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, cut, drop, keep, mix64, ranges, text_of, utf8, wide
-from tilewright.llm.jaccard_join import _batch, _by_pid, dealt, gathered
+from tilewright.llm.blobs import blob_batch, by_kind, dealt, gathered
+from tilewright.llm.common import blocks, drop, keep, mix64, ranges, small_batches, text_of, utf8, wide
+from tilewright.llm.shingles import _BYTE, _PLACE
 from tilewright.llm.suffix_arrays import common_prefixes, suffix_arrays
 
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 32
 REACH = LENGTH - GRAM  # an anchor lies at most this far into its string
 COMMON = 64
-#: Unlike segments that a shard takes before it is parted, and shards that are sorted side by side.
-SHARD, LANES = 24, 1024
+#: Unlike segments that a shard takes before it is parted, and symbols of the shards that are sorted side by side.
+SHARD, SYMBOLS = 24, 1 << 19
 NO_ID = (1 << 63) - 1  # the id of a row without doc_id
 
 
@@ -59,15 +61,17 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     if n < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    raw = np.append(data, np.zeros(16, np.uint8)).astype(np.uint64)
+    raw = np.append(data, np.zeros(GRAM, np.uint8)).astype(np.uint64)
     two = raw[:-1] | raw[1:] << np.uint64(8)
     four = two[:-2] | two[2:] << np.uint64(16)
     eight = four[:-4] | four[4:] << np.uint64(32)
-    hashes = mix64(eight[: n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15) + mix64(eight[8 : n - GRAM + 9] * np.uint64(0xD1B54A32D192ED03)))
+    sixteen = eight[:-8] * np.uint64(0x9E3779B97F4A7C15) + eight[8:] * np.uint64(0xD1B54A32D192ED03)
+    sixteen ^= sixteen >> np.uint64(31)
+    hashes = mix64(sixteen[: n - GRAM + 1] * np.uint64(0x8CB92BA72F3D8DD7) + sixteen[16 : n - GRAM + 17] * np.uint64(0xC2B2AE3D27D4EB4F))
     high = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     least = _slide(high, REACH + 1, np.minimum)  # of the string at each position
-    ends = np.repeat(at[1:], np.diff(at))[: len(least)]
-    least[np.arange(len(least)) + LENGTH > ends] = 0  # it would cross into the next text
+    across = (at[1:, None] - np.arange(1, LENGTH)).ravel()  # these would go on in the next text
+    least[across[(across >= 0) & (across < len(least))]] = 0
     padded = np.concatenate([np.zeros(REACH, np.uint32), least, np.zeros(REACH, np.uint32)])
     found = np.flatnonzero(_slide(padded, REACH + 1, np.maximum)[: len(high)] == high)
     return found, hashes[found]
@@ -86,7 +90,7 @@ def _send(parts: int):
 
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, "text", 4 << 20):
+            for part in blocks(batch, "text"):
                 data, at = utf8(part.column(1))
                 place, hashes = anchors(data, at)
                 doc = np.searchsorted(at, place, side="right") - 1
@@ -107,18 +111,20 @@ def _send(parts: int):
                 rows += [(2, p, b) for p, b in dealt(home, of[common], _parts_of(told, parts).astype(np.uint32), _low(told))]
                 hashes, of = hashes[~common], of[~common]
                 rows += [(0, p, b) for p, b in dealt(_parts_of(hashes, parts), _low(hashes), of.astype(np.uint32), (of >> np.uint64(32)).astype(np.uint8))]
-                yield _batch(rows)
+                yield blob_batch(rows)
 
     return run
 
 
 def _share(parts: int):
-    """Kind 2: (class, part, gram) of the grams of several classes, to the class's part. Common grams of any block are shared."""
+    """Kind 2: (class, part, gram) of the grams of several classes, to the class's part; those that came as such pass. Common grams of any block are shared."""
 
     def run(batches):
         found: dict[tuple[int, int], list[bytes]] = {}
         for batch in batches:
-            for kind, pid, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            direct = pc.equal(batch.column(0), 2)
+            yield batch.filter(direct)
+            for kind, pid, blob in zip(*(c.to_pylist() for c in batch.filter(pc.invert(direct)).columns), strict=True):
                 found.setdefault((pid, kind), []).append(blob)
         for pid in sorted({p for p, _ in found}):
             gram, low, high = gathered(found.pop((pid, 0), []), (np.uint32, np.uint32, np.uint8))
@@ -135,14 +141,14 @@ def _share(parts: int):
             gram, of = gram[shared], of[shared]
             rows = [(2, p, b) for p, b in dealt((of % np.uint64(parts)).astype(np.int64), of, np.full(len(of), pid, np.uint32), gram)]
             if rows:
-                yield _batch(rows)
+                yield blob_batch(rows)
 
     return run
 
 
 def _told(batches):
     """A row (class, grams) for each class with shared grams; a gram is its part and its low bits."""
-    found = _by_pid(batches)
+    found = by_kind(batches)
     of, part, gram = gathered(found.get(2, []), (np.uint64, np.uint32, np.uint32))
     code = part.astype(np.uint64) << np.uint64(32) | gram
     order = np.lexsort((code, of))
@@ -162,7 +168,7 @@ def _segments(parts: int):
 
     def run(batches):
         for batch in batches:
-            for part in blocks(batch, "text", 4 << 20):
+            for part in blocks(batch, "text"):
                 ids, classes, texts, grams = (part.column(part.schema.get_field_index(c)) for c in ("id", "cls", "text", "grams"))
                 data, at = utf8(texts)
                 place, hashes = anchors(data, at)
@@ -179,37 +185,37 @@ def _segments(parts: int):
                     continue
                 start = np.maximum(place - REACH, at[:-1][doc])
                 size = np.minimum(place + LENGTH, at[1:][doc]) - start
-                offsets = np.concatenate([[0], np.cumsum(size)])
-                body = data[np.repeat(start, size) + ranges(size)].tobytes()
-                texts = [body[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                step = ranges(size)
+                body = data[np.repeat(start, size) + step]
+                begin = np.cumsum(size) - size
+                lead = place - start
+                code = np.add.reduceat(_BYTE[body] * _PLACE[step], begin) + (lead * 256 + size).astype(np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)
+                code = mix64(code).view(np.int64)
                 id_of, class_of = ids.to_numpy()[doc], classes.to_numpy()[doc]
-                unlike: dict[tuple[int, int, bytes], list[int]] = {}
-                codes = []
-                for h, lead, t, i in zip(hashes.view(np.int64).tolist(), (place - start).tolist(), texts, id_of.tolist(), strict=True):
-                    entry = unlike.get((h, lead, t))
-                    if entry is None:
-                        digest = int.from_bytes(hashlib.blake2b(t, digest_size=8, salt=lead.to_bytes(2)).digest(), "little", signed=True)
-                        unlike[(h, lead, t)] = entry = [i, 0, digest]
-                    entry[0] = min(entry[0], i)
-                    entry[1] += 1
-                    codes.append(entry[2])
-                keys, entries = list(unlike), list(unlike.values())
-                m, none = len(keys), pa.nulls
+                _, first, inverse, number = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+                least = np.full(len(first), NO_ID)
+                np.minimum.at(least, inverse, id_of)
+                # in the order of the text, neighbours overlap and so compress well
+                order = np.argsort(first)
+                first, least, number = first[order], least[order], number[order]
+                offsets = np.concatenate([begin, [len(body)]]).astype(np.int32)
+                segment = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(body)]).take(pa.array(first))
+                m, none = len(first), pa.nulls
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.zeros(m, np.int32)),
-                        pa.array([k[0] for k in keys], pa.int64()),
-                        pa.array([k[1] for k in keys], pa.int32()),
-                        pa.array([k[2] for k in keys], pa.binary()),
-                        pa.array([e[0] for e in entries], pa.int64()),
-                        pa.array([e[1] for e in entries], pa.int64()),
-                        pa.array([e[2] for e in entries], pa.int64()),
+                        pa.array(hashes.view(np.int64)[first]),
+                        pa.array(lead[first].astype(np.int32)),
+                        segment,
+                        pa.array(least),
+                        pa.array(number),
+                        pa.array(code[first]),
                         none(m, pa.int64()),
                         none(m, pa.int32()),
                     ],
                     names=names,
                 )
-                m = len(codes)
+                m = len(code)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.ones(m, np.int32)),
@@ -218,7 +224,7 @@ def _segments(parts: int):
                         none(m, pa.binary()),
                         pa.array(id_of),
                         none(m, pa.int64()),
-                        pa.array(codes, pa.int64()),
+                        pa.array(code),
                         pa.array(class_of),
                         pa.array((start - at[:-1][doc]).astype(np.int32)),
                     ],
@@ -240,8 +246,12 @@ def least_ids(strings: list[bytes], ids: np.ndarray, shard: np.ndarray) -> list[
     totals = np.add.reduceat(size, cuts) + 1
     ends = np.append(cuts[1:], len(strings))
     order = np.argsort(totals, kind="stable")
-    for i in range(0, len(order), LANES):
-        lanes = order[i : i + LANES]
+    i = 0
+    while i < len(order):
+        # shards of like length, by the matrix that they fill
+        filled = totals[order[i:]] * np.arange(1, len(order) - i + 1)
+        lanes = order[i : i + max(1, int(np.searchsorted(filled, SYMBOLS, side="right")))]
+        i += len(lanes)
         length = totals[lanes]
         text = np.zeros((int(length.max()), len(lanes)), np.int32)
         members = np.concatenate([np.arange(cuts[s], ends[s]) for s in lanes])
@@ -280,108 +290,157 @@ def least_ids(strings: list[bytes], ids: np.ndarray, shard: np.ndarray) -> list[
     return out
 
 
-def _runs(values: np.ndarray) -> bytes:
-    """(first string, least id) where the least id changes, and the number of strings."""
-    change = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-    return np.append(np.stack([change, values[change]], axis=1), [[len(values), NO_ID]], axis=0).astype(np.int64).tobytes()
+class Strings:
+    """Substrings of one buffer by hash: 64 bits of each, from prefix sums, in constant time."""
 
+    def __init__(self, data: np.ndarray):
+        self.data = data
+        base = np.uint64(0x9E3779B97F4A7C15)
+        self.back = np.full(len(data) + 1, np.uint64(pow(int(base), -1, 1 << 64)))
+        self.back[0] = 1
+        self.back = np.cumprod(self.back)
+        forward = np.full(len(data), base)
+        forward[:1] = 1
+        sums = _TABLE[data] * np.cumprod(forward)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(sums)])
 
-def parted(rows: np.ndarray, lead: np.ndarray, size: np.ndarray, start: np.ndarray, data: np.ndarray):
-    """Groups (members, low, high) of one anchor's segments: of their strings those that begin low..high bytes before the anchor.
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[end] - self.sums[begin]) * self.back[begin] + (end - begin).astype(np.uint64))
 
-    A group of more than SHARD segments is parted in two by that distance; each half's strings
-    share a longer core, by which its members fall into groups again.
-    """
-    todo = [(rows, 0, REACH)]
-    while todo:
-        rows, low, high = todo.pop()
-        if len(rows) <= SHARD or low == high:
-            yield rows, low, high
-            continue
-        middle = (low + high) // 2
-        for a, b in ((low, middle), (middle + 1, high)):
-            # the core: from a bytes before the anchor to LENGTH - b after it
-            fits = rows[(lead[rows] >= a) & (size[rows] - lead[rows] >= LENGTH - b)]
-            if not len(fits):
-                continue
-            core = start[fits] + lead[fits] - a
-            key = np.zeros(len(fits), np.uint64)
-            for j in range(a + LENGTH - b):
-                key = mix64(key + data[core + j].astype(np.uint64) + np.uint64(1))
-            order = np.argsort(key, kind="stable")
-            cuts = np.flatnonzero(key[order][1:] != key[order][:-1]) + 1
-            todo += [(fits[o], a, b) for o in np.split(order, cuts)]
+    def equal(self, begin: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the size bytes from begin are those from other."""
+        out = np.ones(len(begin), bool)
+        at = np.repeat(np.arange(len(begin)), size)
+        step = ranges(size)
+        out[at[self.data[np.repeat(begin, size) + step] != self.data[np.repeat(other, size) + step]]] = False
+        return out
 
 
-def _shards(batches):
-    """(code, least) for each unlike segment: the runs of least ids of its strings."""
-    merged: dict[tuple[int, int, bytes], list[int]] = {}
-    for batch in batches:
-        for a, p, s, i, n, c in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            entry = merged.get((a, p, s))
-            if entry is None:
-                merged[(a, p, s)] = [i, n, c]
-            else:
-                entry[0] = min(entry[0], i)
-                entry[1] += n
-    keys = sorted(merged)
-    entries = [merged[k] for k in keys]
-    merged.clear()
-    if not keys:
-        return
-    anchor = np.array([k[0] for k in keys])
-    lead = np.array([k[1] for k in keys])
-    texts = [k[2] for k in keys]
-    ids = np.array([e[0] for e in entries], np.int64)
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
-    start = np.cumsum(size) - size
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    least = [np.full(k - LENGTH + 1, i, np.int64) for k, i in zip(size.tolist(), ids.tolist(), strict=True)]
-    cuts = np.append(np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])), len(anchor))
+_TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
+def levels() -> list[list[tuple[int, int]]]:
+    """Halves, quarters, ... and single values of the places of an anchor in its string."""
+    out, now = [], [(0, REACH)]
+    while any(a < b for a, b in now):
+        now = [r for a, b in now for r in (((a, (a + b) // 2), ((a + b) // 2 + 1, b)) if a < b else ((a, b),))]
+        out.append(now)
+    return out
+
+
+def shared_strings(data: np.ndarray, at: np.ndarray, lead: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least id for each string of LENGTH bytes of the segments, one after another, and the segments' n + 1 offsets.
+
+    Segments meet by a core that their strings share: the strings whose anchor lies a..b bytes
+    in all hold the bytes from a before the anchor to LENGTH - b after it. Groups whose strings
+    are alike are settled at once; small other groups become the shards of suffix arrays; large
+    ones part again, by half the range and so by a longer core, down to single strings.
+    """
+    size = np.diff(at)
+    offset = np.concatenate([[0], np.cumsum(np.maximum(size - LENGTH + 1, 0))])
+    least = np.repeat(ids, np.diff(offset))
+    text = Strings(data)
+    anchor = at[:-1] + lead
+    open_ = {(0, REACH): np.arange(len(lead))}
     strings: list[bytes] = []
     owners: list[int] = []
     begins: list[int] = []
     shard: list[int] = []
 
-    def solve():
+    def lower(members: np.ndarray, first: np.ndarray, count: np.ndarray, value: np.ndarray) -> None:
+        np.minimum.at(least, np.repeat(offset[members] + first, count) + ranges(count), np.repeat(value, count))
+
+    def solve() -> None:
         if strings:
-            for m, b, values in zip(owners, begins, least_ids(strings, ids[owners], np.array(shard)), strict=True):
-                part = least[m][b : b + len(values)]
-                np.minimum(part, values, out=part)
+            found = least_ids(strings, ids[owners], np.array(shard))
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            values = np.concatenate(found)
+            np.minimum.at(least, np.repeat(offset[owners] + np.array(begins), counts) + ranges(counts), values)
         for x in (strings, owners, begins, shard):
             x.clear()
 
-    nth = 0
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        for members, low, high in parted(np.arange(a, b), lead, size, start, data):
-            if len(members) < 2:
-                continue  # its strings occur in this segment's documents alone
-            members = members.tolist()
-            if low == high:  # one string each
-                string = [texts[m][lead[m] - low :][:LENGTH] for m in members]
-                best: dict[bytes, int] = {}
-                for m, t in zip(members, string, strict=True):
-                    best[t] = min(best.get(t, NO_ID), int(ids[m]))
-                for m, t in zip(members, string, strict=True):
-                    least[m][lead[m] - low] = min(least[m][lead[m] - low], best[t])
+    whole = data.tobytes()
+    for depth, parts in enumerate(levels()):
+        closed, open_ = open_, {}
+        for (a, b), members in ((r, m) for parent, m in closed.items() for r in parts if parent[0] <= r[0] and r[1] <= parent[1]):
+            m = members[(lead[members] >= a) & (size[members] - lead[members] >= LENGTH - b)]
+            key = text.hashes(anchor[m] - a, anchor[m] + LENGTH - b)
+            order = np.argsort(key, kind="stable")
+            m, key = m[order], key[order]
+            heads = np.append(True, key[1:] != key[:-1]) if len(m) else np.zeros(0, bool)
+            group = np.cumsum(heads) - 1
+            count = np.bincount(group)
+            several = count[group] > 1 if len(m) else np.zeros(0, bool)
+            m, group = m[several], group[several]
+            if not len(m):
                 continue
-            for m in members:
-                begin = max(0, int(lead[m]) - high)
-                piece = texts[m][begin : int(lead[m]) + LENGTH - low]
-                if len(piece) >= LENGTH:
-                    strings.append(piece)
-                    owners.append(m)
-                    begins.append(begin)
-                    shard.append(nth)
-            nth += 1
-            if nth % (4 * LANES) == 0:
-                solve()
+            head_at = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            group = np.cumsum(np.append(True, group[1:] != group[:-1])) - 1
+            count = np.diff(np.append(head_at, len(m)))
+            begin = np.maximum(at[:-1][m], anchor[m] - b)
+            end = np.minimum(at[1:][m], anchor[m] + LENGTH - a)
+            first = m[head_at][group]
+            head_begin, head_end = begin[head_at][group], end[head_at][group]
+            like = (end - begin == head_end - head_begin) & (text.hashes(begin, end) == text.hashes(head_begin, head_end))
+            alike = np.logical_and.reduceat(like, head_at)[group]
+            sure = np.flatnonzero(alike)
+            exact = text.equal(begin[sure], head_begin[sure], (end - begin)[sure])
+            alike[sure[~exact]] = False
+            alike = np.logical_and.reduceat(alike, head_at)
+            value = np.minimum.reduceat(ids[m], head_at)
+            now = alike[group]
+            lower(m[now], (begin - at[:-1][m])[now], (end - begin - LENGTH + 1)[now], value[group][now])
+            small = ~alike & (count <= SHARD) & (depth > 1)
+            for g in np.flatnonzero(small).tolist():
+                base = shard[-1] + 1 if shard else 0
+                for i in range(head_at[g], head_at[g] + count[g]):
+                    strings.append(whole[begin[i] : end[i]])
+                    owners.append(int(m[i]))
+                    begins.append(int(begin[i] - at[m[i]]))
+                    shard.append(base)
+                if base >= SYMBOLS // 32:
+                    solve()
+            rest = (~alike & ~small)[group]
+            if rest.any():
+                open_[(a, b)] = m[rest]
     solve()
+    return least, offset
+
+
+def _shards(batches):
+    """(code, least) for each unlike segment: the runs (first string, least id) of its strings, then their number."""
+    found = [b for b in batches if b.num_rows]
+    if not found:
+        return
+    table = pa.Table.from_batches(found)
+    found.clear()
+    lead, ids, number, code = (table.column(c).to_numpy() for c in ("lead", "id", "n", "code"))
+    # equal segments of several tasks
+    order = np.argsort(code, kind="stable")
+    heads = np.flatnonzero(np.append(True, code[order][1:] != code[order][:-1]))
+    ids, number, chosen = np.minimum.reduceat(ids[order], heads), np.add.reduceat(number[order], heads), order[heads]
+    code, lead = code[chosen], lead[chosen].astype(np.int64)
+    data, at = utf8(table.column("segment").take(pa.array(chosen)))
+    del table
+    least, offset = shared_strings(data, at, lead, ids)
+    n = np.diff(offset)
+    owner = np.repeat(np.arange(len(n)), n)
     # a segment that occurs once and whose strings occur nowhere else tells nothing
-    told = [k for k, (e, v) in enumerate(zip(entries, least, strict=True)) if e[1] > 1 or (v != e[0]).any()]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([entries[k][2] for k in told], pa.int64()), pa.array([_runs(least[k]) for k in told], pa.binary())], names=["code", "least"]
-    )
+    told = (number > 1) | np.logical_or.reduceat(least != ids[owner], offset[:-1])
+    turn = np.ones(len(least), bool)
+    turn[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
+    turn &= told[owner]
+    first = np.flatnonzero(turn)
+    runs = np.bincount(owner[first], minlength=len(n))[told] + 1
+    ends = np.cumsum(runs)
+    pairs = np.empty((int(runs.sum()), 2), np.int64)
+    last = np.zeros(len(pairs), bool)
+    last[ends - 1] = True
+    pairs[~last] = np.stack([first - offset[owner[first]], least[first]], axis=1)
+    pairs[last] = np.stack([n[told], np.full(len(ends), NO_ID)], axis=1)
+    offsets = np.concatenate([[0], ends * 16]).astype(np.int32)
+    cells = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(pairs)])
+    yield pa.RecordBatch.from_arrays([pa.array(code[told]), cells], names=["code", "least"])
 
 
 def _marks(batches):
@@ -429,6 +488,7 @@ def _removed(batches):
 
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs(doc_id, text)."""
+    small_batches(docs.sparkSession)
     parts = wide(docs.sparkSession)
     text = text_of()
     id_ = F.col("doc_id").cast("long")
@@ -441,11 +501,8 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     blob = "kind int, pid int, blob binary"
     sent = rows.where(F.octet_length("text") >= LENGTH).select("cls", "text").mapInArrow(_send(parts), blob)
-    # the common grams of a class go to it directly
-    sent = keep(sent, "anchors")
-    shared = sent.where("kind in (0, 3)").repartition(parts, "pid").mapInArrow(_share(parts), blob)
-    told = keep(shared.union(sent.where("kind = 2")).repartition(parts, "pid").mapInArrow(_told, "class long, grams binary"), "told")
-    drop(sent)
+    shared = sent.repartition(parts, "pid").mapInArrow(_share(parts), blob)
+    told = keep(shared.repartition(parts, "pid").mapInArrow(_told, "class long, grams binary"), "told")
 
     low = F.col("first_cls").bitwiseAND(F.lit((1 << 40) - 1))
     searched = first.join(told, low == F.col("class")).select(F.col("first").alias("s_id"), F.col("first_cls").alias("s_cls"), "grams")

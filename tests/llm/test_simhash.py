@@ -58,3 +58,21 @@ def test_within_radius(spark, radius):
     distance = lambda p, q: sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(p, q, strict=True))
     expected = {q: sum(1 + i % 3 for i, p in enumerate(prints) if distance(p, q) <= radius) for q in prints[::5]}
     assert {(r.q1, r.q2): r.n for r in S.within_radius(queries, index, radius).collect()} == expected
+
+
+def test_edited_texts_are_near(spark):
+    """Texts of Jaccard similarity 0.8 and more are within the radius, unrelated ones aren't."""
+    from tilewright.llm.shingles import shingle_sets
+
+    rows = []
+    for k in range(20):
+        words = prose(100 + k, 200).split()
+        rows.append((50 * k, " ".join(words)))
+        for e in range(1, 5):  # e words replaced: some 5 e of 196 shingles
+            rows.append((50 * k + e, " ".join(f"new{e}" if i in range(20, 20 + 40 * e, 40) else w for i, w in enumerate(words))))
+    raw = [t.encode() for _, t in rows]
+    sets, _ = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    expected = {i: sum(len(np.intersect1d(a, b)) / len(np.union1d(a, b)) >= 0.8 for b in sets) - 1 for (i, _), a in zip(rows, sets, strict=True) if i % 50 == 0}
+    assert set(expected.values()) == {4}
+    found = S.simhash(spark.createDataFrame(rows, "doc_id long, text string")).where("n_near is not null").collect()
+    assert {r.doc_id: r.n_near for r in found} == expected

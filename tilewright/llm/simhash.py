@@ -4,9 +4,10 @@ A term is a run of five words (a shorter text is one term), its weight the numbe
 occurrences. Each term's 128-bit hash votes with its weight on each bit; a bit is set where
 the votes for it prevail. Likeness is the share of equal bits.
 
-The search deals each print's bits into radius + 1 blocks and files it in one table for each
-block, so two prints within the radius agree in at least one whole block; a pair counts in
-the first table in which it meets. Equal prints are one entry with a count.
+The search is exact: blocks of query prints meet blocks of the distinct prints, and all their
+distances are counted. At a radius that texts of Jaccard similarity 0.8 need, tables by blocks
+of bits have keys of a few bits and leave out nearly nothing. Equal prints are one entry with
+a count.
 
 Edge cases: null text counts as empty; a text without words has the print of all zeros; equal
 texts have equal prints; rows are ordered by doc_id, downwards, null last, then by text, and
@@ -27,6 +28,10 @@ from tilewright.llm.common import BLOCK_BYTES, keep, mix64, small_batches, text_
 from tilewright.llm.shingles import shingle_hashes, word_hashes
 
 BITS = 128
+#: Bits in which the prints of texts with 0.8 of their shingles in common may differ.
+RADIUS = 28
+#: Prints of a block of queries and of the index, and distances that are counted at once.
+QUERY_BLOCK, INDEX_BLOCK, PAIRS = 4096, 1 << 16, 1 << 18
 
 
 def fingerprints(texts: list[bytes]) -> np.ndarray:
@@ -122,34 +127,44 @@ def _borders(batches):
         yield compared([last[0]], [last[1]], [first])
 
 
-def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3) -> DataFrame:
-    """(q1, q2, n) for each print of queries(p1, p2): the rows of index(p1, p2, n) within radius (under 32)."""
-    tables = radius + 1
-    edges = [BITS * i // tables for i in range(tables + 1)]
-
-    def block(one, two, a: int, b: int):
-        """Bits a to b, counted from the top of the two words."""
-        def bits(word, a: int, b: int):
-            return F.shiftrightunsigned(F.shiftleft(word, a), 64 - (b - a)) if b > a else F.lit(0).cast("long")
-
-        high = bits(one, min(a, 64), min(b, 64))
-        low = bits(two, max(a, 64) - 64, max(b, 64) - 64)
-        return F.struct(high.alias("h"), low.alias("l"))
-
-    def filed(df: DataFrame, one: str, two: str) -> DataFrame:
-        keys = F.array(*(block(F.col(one), F.col(two), a, b) for a, b in zip(edges, edges[1:], strict=False)))
-        return df.select("*", F.posexplode(keys).alias("table", "key"))
-
-    q = filed(queries.select(F.col("p1").alias("q1"), F.col("p2").alias("q2")).distinct(), "q1", "q2")
-    i = filed(index, "p1", "p2")
-    met = q.join(i, ["table", "key"]).where(F.bit_count(F.col("q1").bitwiseXOR(F.col("p1"))) + F.bit_count(F.col("q2").bitwiseXOR(F.col("p2"))) <= radius)
-    earlier = F.lit(False)
-    for nth, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-        earlier = earlier | ((F.lit(nth) < F.col("table")) & (block(F.col("q1"), F.col("q2"), a, b) == block(F.col("p1"), F.col("p2"), a, b)))
-    return met.where(~earlier).groupBy("q1", "q2").agg(F.sum("n").alias("n"))
-
-
-def simhash(docs: DataFrame, radius: int = 3, every: int = 50) -> DataFrame:
+def _distances(radius: int):
+    def run(batches):
+        for batch in batches:
+            for queries, prints in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("queries", "prints")), strict=True):
+                q, i = queries.values, prints.values
+                (q1, q2), (p1, p2) = ([np.asarray(x.field(c)).view(np.uint64) for c in range(2)] for x in (q, i))
+                rows = max(1, PAIRS // max(1, len(p1)))
+                for start in range(0, len(q1), rows):
+                    a, b = q1[start : start + rows], q2[start : start + rows]
+                    near = np.bitwise_count(a[:, None] ^ p1[None])
+                    # few unrelated prints are so near in their first half
+                    row, col = np.nonzero(near <= radius)
+                    ok = near[row, col].astype(np.int64) + np.bitwise_count(b[row] ^ p2[col]) <= radius
+                    row, col = row[ok], col[ok]
+                    yield pa.RecordBatch.from_arrays([pa.array(a[row].view(np.int64)), pa.array(b[row].view(np.int64)), i.field(2).take(pa.array(col))], names=["q1", "q2", "n"])
+
+    return run
+
+
+def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(q1, q2, n) for each print of queries(p1, p2): the rows of index(p1, p2, n) within radius."""
+    spark = queries.sparkSession
+    small_batches(spark)
+
+    def blocks_of(df: DataFrame, name: str, most: int, least: int) -> tuple[DataFrame, int]:
+        """The rows in blocks of about most, at least so many blocks; the number of blocks."""
+        n = max(least, -(-df.count() // most))
+        held = df.groupBy(F.pmod(F.xxhash64("p1", "p2"), F.lit(n)).alias("block")).agg(F.collect_list(F.struct(*df.columns)).alias(name))
+        return held, n
+
+    asked, _ = blocks_of(queries.select("p1", "p2").distinct(), "queries", QUERY_BLOCK, 1)
+    filed, n = blocks_of(index.select("p1", "p2", F.col("n").cast("long").alias("n")), "prints", INDEX_BLOCK, min(wide(spark), 48))
+    each = asked.select("queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("block"))
+    met = each.join(filed, "block").select("queries", "prints")
+    return met.mapInArrow(_distances(radius), "q1 long, q2 long, n long").groupBy("q1", "q2").agg(F.sum("n").alias("n"))
+
+
+def simhash(docs: DataFrame, radius: int = RADIUS, every: int = 50) -> DataFrame:
     """The fingerprint of each row of docs(doc_id, text), of its edited text, and their likeness.
 
     The edited text has its last third (rounded down, in code points) replaced by as much of

@@ -76,3 +76,19 @@ def test_edited_texts_are_near(spark):
     assert set(expected.values()) == {4}
     found = S.simhash(spark.createDataFrame(rows, "doc_id long, text string")).where("n_near is not null").collect()
     assert {r.doc_id: r.n_near for r in found} == expected
+
+
+def test_documents_within_radius(spark, odd):
+    """near_ids and the fingerprints lead to the rows of all prints within the radius."""
+    more = spark.createDataFrame([(50, prose(2, 120) + " end"), (100, prose(3, 60)), (150, "one two three"), (200, prose(4, 60) + " last")], "doc_id long, text string")
+    rows = S.simhash(odd.select("doc_id", "text").union(more)).collect()
+    prints = {r.fingerprint: int(r.fingerprint, 16) for r in rows}
+    least = {f: min((r.doc_id for r in rows if r.fingerprint == f and r.doc_id is not None), default=None) for f in prints}
+    asked = [r for r in rows if r.n_near is not None]
+    assert {r.doc_id for r in asked} == {0, 50, 100, 150, 200}
+    assert all(r.near_ids is None for r in rows if r.n_near is None)
+    for r in asked:
+        near = {f for f, p in prints.items() if (p ^ prints[r.fingerprint]).bit_count() <= S.RADIUS}
+        assert r.near_ids == sorted((least[f] for f in near), key=lambda i: (i is None, i))
+        members = [m for m in rows if m.fingerprint in {x.fingerprint for x in rows if x.doc_id in r.near_ids}]
+        assert r.n_near == len(members) - 1

@@ -141,13 +141,13 @@ def _distances(radius: int):
                     row, col = np.nonzero(near <= radius)
                     ok = near[row, col].astype(np.int64) + np.bitwise_count(b[row] ^ p2[col]) <= radius
                     row, col = row[ok], col[ok]
-                    yield pa.RecordBatch.from_arrays([pa.array(a[row].view(np.int64)), pa.array(b[row].view(np.int64)), i.field(2).take(pa.array(col))], names=["q1", "q2", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(a[row].view(np.int64)), pa.array(b[row].view(np.int64)), *(i.field(c).take(pa.array(col)) for c in (2, 3))], names=["q1", "q2", "n", "doc_id"])
 
     return run
 
 
-def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(q1, q2, n) for each print of queries(p1, p2): the rows of index(p1, p2, n) within radius."""
+def print_pairs(queries: DataFrame, index: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(q1, q2, n, doc_id) for each print of queries(p1, p2) and each row of index(p1, p2, n, doc_id) within radius."""
     spark = queries.sparkSession
     small_batches(spark)
 
@@ -158,18 +158,25 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS) ->
         return held, n
 
     asked, _ = blocks_of(queries.select("p1", "p2").distinct(), "queries", QUERY_BLOCK, 1)
-    filed, n = blocks_of(index.select("p1", "p2", F.col("n").cast("long").alias("n")), "prints", INDEX_BLOCK, min(wide(spark), 48))
+    filed, n = blocks_of(index.select("p1", "p2", F.col("n").cast("long").alias("n"), F.col("doc_id").cast("long").alias("doc_id")), "prints", INDEX_BLOCK, min(wide(spark), 48))
     each = asked.select("queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("block"))
     met = each.join(filed, "block").select("queries", "prints")
-    return met.mapInArrow(_distances(radius), "q1 long, q2 long, n long").groupBy("q1", "q2").agg(F.sum("n").alias("n"))
+    return met.mapInArrow(_distances(radius), "q1 long, q2 long, n long, doc_id long")
+
+
+def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(q1, q2, n) for each print of queries(p1, p2): the rows of index(p1, p2, n) within radius."""
+    return print_pairs(queries, index.withColumn("doc_id", F.lit(None)), radius).groupBy("q1", "q2").agg(F.sum("n").alias("n"))
 
 
 def simhash(docs: DataFrame, radius: int = RADIUS, every: int = 50) -> DataFrame:
     """The fingerprint of each row of docs(doc_id, text), of its edited text, and their likeness.
 
     The edited text has its last third (rounded down, in code points) replaced by as much of
-    the beginning of the next row's text. n_near: for a doc_id divisible by every, the number
-    of other rows whose print is within radius; null for the other rows.
+    the beginning of the next row's text. For a doc_id divisible by every, n_near is the number
+    of other rows whose print is within radius, and near_ids has the least doc_id of each
+    distinct print within radius, its own among them; the rows with the fingerprint of one of
+    these are the rows found. Both are null for the other rows.
     """
     small_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
@@ -186,11 +193,14 @@ def simhash(docs: DataFrame, radius: int = RADIUS, every: int = 50) -> DataFrame
 
     prints = out.select("doc_id", word(1).alias("p1"), word(17).alias("p2"))
     asked = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
-    near = within_radius(prints.where(asked).select("p1", "p2"), prints.groupBy("p1", "p2").agg(F.count("*").alias("n")), radius)
+    index = prints.groupBy("p1", "p2").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
+    # in a struct, since lists leave out nulls: a print may have only rows without doc_id
+    found = F.array_sort(F.collect_list(F.struct("doc_id")))
+    near = print_pairs(prints.where(asked).select("p1", "p2"), index, radius).groupBy("q1", "q2").agg(F.sum("n").alias("n"), F.transform(found, lambda x: x["doc_id"]).alias("near_ids"))
     joined = out.withColumns({"p1": word(1), "p2": word(17)}).withColumn("asked", asked)
-    # only rows that ask look up their count
+    # only rows that ask look up what is near them
     k1 = F.when(F.col("asked"), F.col("p1"))
-    joined = joined.where("not asked").select(*_NAMES, F.lit(None).cast("long").alias("n_near")).union(
-        joined.where("asked").join(near, (k1 == F.col("q1")) & (F.col("p2") == F.col("q2"))).select(*_NAMES, F.col("n") - 1)
+    joined = joined.where("not asked").select(*_NAMES, F.lit(None).cast("long").alias("n_near"), F.lit(None).cast("array<long>").alias("near_ids")).union(
+        joined.where("asked").join(near, (k1 == F.col("q1")) & (F.col("p2") == F.col("q2"))).select(*_NAMES, F.col("n") - 1, "near_ids")
     )
     return joined

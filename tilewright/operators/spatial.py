@@ -91,6 +91,11 @@ def artworks(stats: DataFrame, least_pixels: int = 20) -> DataFrame:
     return stats.withColumn("name", artwork_name(F.col("world_x"), F.col("world_y"), F.col("w"), F.col("h"))).withColumn("skip_reason", reason)
 
 
+def totals(found: DataFrame) -> DataFrame:
+    """found, small, one_colour, pixels: one row for all artworks."""
+    return found.agg(F.count("*").alias("found"), F.count_if(F.expr("skip_reason = 'small'")).alias("small"), F.count_if(F.expr("skip_reason = 'one colour'")).alias("one_colour"), F.sum("pixels").cast("long").alias("pixels"))
+
+
 def mosaic_artworks(state: DataFrame, tile_size: int, d: int, least_pixels: int = 20) -> DataFrame:
     """Drawings as seen from the 3 x 3 tiles around each tile: the one that holds a drawing's centre keeps it.
 

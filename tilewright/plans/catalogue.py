@@ -44,7 +44,7 @@ def _days(spark, d) -> DataFrame:
 
 
 def _first_day(spark, d) -> DataFrame:
-    """The overlay of the first snapshot."""
+    """The overlay of the first snapshot: a slice for recursive SQL (plans/whole.py has the whole state)."""
     px = pixels(spark, d)
     first = px.agg(F.min("tag_ts").alias("first_ts"))
     return state.tag_overlay(px.join(F.broadcast(first), F.col("tag_ts") == F.col("first_ts")).drop("first_ts"))  # one row
@@ -417,7 +417,7 @@ def shard_lists(spark, d):
 @query
 def run_totals(spark, d):
     stats = spatial.artworks(spatial.component_stats(spatial.components(spatial.world(_first_day(spark, d), TILE_SIZE), 0)), 2)
-    return stats.agg(F.count("*").alias("found"), F.count_if(F.expr("skip_reason = 'small'")).alias("small"), F.count_if(F.expr("skip_reason = 'one colour'")).alias("one_colour"), F.sum("pixels").cast("long").alias("pixels"))
+    return spatial.totals(stats)
 
 
 @query
@@ -425,6 +425,11 @@ def dilation(spark, d):
     return spatial.dilate(spatial.world(_first_day(spark, d), TILE_SIZE), 1)
 
 
+@query
+def state_dilation(spark, d):
+    return spatial.dilate(spatial.world(state.rolling_state(pixels(spark, d)), TILE_SIZE), 1)
+
+
 @query
 def shard_discovery(spark, d):
     whole = shards.manifest(_state_tiles(spark, d), SHARD_TILES)

@@ -201,6 +201,8 @@ SELECT name, CAST(row_number() OVER (ORDER BY prefix, kind, len, number, name) A
         "shard_lists": "SELECT n_nationkey, unnest(['s0001_0002', printf('s%04d_%04d', n_nationkey, n_regionkey)]) AS name FROM nation",
         "dilation": _with(_PX, _OVERLAY, _FIRST, _WORLD)
         + "SELECT DISTINCT wx + dx AS wx, wy + dy AS wy FROM world, (VALUES (-1), (0), (1)) AS a(dx), (VALUES (-1), (0), (1)) AS b(dy)",
+        "state_dilation": _with(_PX, _OVERLAY, _STATE, _WORLD.replace("FROM first_day", "FROM state"))
+        + "SELECT DISTINCT wx + dx AS wx, wy + dy AS wy FROM world, (VALUES (-1), (0), (1)) AS a(dx), (VALUES (-1), (0), (1)) AS b(dy)",
         "shard_discovery": tiled + "SELECT name FROM shards WHERE sx < 2 UNION SELECT name FROM shards WHERE sy > 1",
         "shard_encodings": tiled
         + """SELECT CAST(x // 2 AS INT) AS sx, CAST(y // 2 AS INT) AS sy, count(*) FILTER (WHERE encoding = 'sparse') AS sparse,

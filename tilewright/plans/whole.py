@@ -1,0 +1,38 @@
+"""Queries over the whole rolling state that have no SQL: reachability by recursive SQL is
+quadratic in a component, and the state of a full canvas is nearly one component.
+
+catalogue has the same over the first snapshot, with SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tilewright.operators import spatial, state
+from tilewright.plans.catalogue import Query
+from tilewright.sources.tables import TILE_SIZE, pixels
+
+
+def _labelled(spark, d, grow: int) -> DataFrame:
+    return spatial.components(spatial.world(state.rolling_state(pixels(spark, d)), TILE_SIZE), grow)
+
+
+def state_components_d0(spark, d):
+    return _labelled(spark, d, 0).select("wx", "wy", "component")
+
+
+def state_components_d3(spark, d):
+    return _labelled(spark, d, 3).select("wx", "wy", "component")
+
+
+def state_artworks(spark, d):
+    return spatial.artworks(spatial.component_stats(_labelled(spark, d, 0)), 2).drop("component")
+
+
+def state_run_totals(spark, d):
+    return spatial.totals(spatial.artworks(spatial.component_stats(_labelled(spark, d, 0)), 2))
+
+
+def queries() -> dict[str, Query]:
+    return {f.__name__: f for f in (state_components_d0, state_components_d3, state_artworks, state_run_totals)}

@@ -171,3 +171,25 @@ def test_crops(spark):
     (row,) = spatial.crops(labelled, kept).collect()
     assert row.name == "art_x1_y1_w2_h1.png"
     assert decode(row.content)[0].tolist() == [[[255, 0, 0, 255], [0, 255, 0, 255]]]
+
+
+def test_crops_of_large_drawings(spark):
+    """Drawings above the bound come in parts that hold all of their pixels."""
+    from tilewright.sources.png import decode
+
+    line = [(x, 2, 0x010000 + x) for x in range(3, 14)] + [(13, y, 0x020000 + y) for y in range(3, 9)]
+    small = [(0, 20, 1), (1, 20, 2)]
+    df = spark.createDataFrame([((y << 31) | x, x, y, c) for x, y, c in line + small], "id long, wx long, wy long, rgb24 int")
+    labelled = spatial.components(df, 0)
+    rows = spatial.crops(labelled, spatial.artworks(spatial.component_stats(labelled), 2), 4).collect()
+    large = "art_x3_y2_w11_h7"
+    assert {(r.name, r.part_row, r.part_column) for r in rows} == {("art_x0_y20_w2_h1.png", 0, 0)} | {(f"{large}_r{r}_c{c}.png", r, c) for r, c in ((0, 0), (0, 1), (0, 2), (1, 2))}
+    found = {}
+    for r in rows:
+        image = decode(r.content)[0]
+        assert image.shape[0] <= 4 and image.shape[1] <= 4
+        for y, x in zip(*np.nonzero(image[:, :, 3]), strict=True):
+            v = image[y, x].tolist()
+            x0, y0 = (3, 2) if r.name.startswith(large) else (0, 20)
+            found[x0 + r.part_column * 4 + int(x), y0 + r.part_row * 4 + int(y)] = v[0] << 16 | v[1] << 8 | v[2]
+    assert found == {(x, y): c for x, y, c in line + small}

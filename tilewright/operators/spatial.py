@@ -129,23 +129,41 @@ def dilate(points: DataFrame, d: int) -> DataFrame:
 
 
 def crops(labelled: DataFrame, kept: DataFrame, largest: int = 4096) -> DataFrame:
-    """name, content: an image of each kept drawing (component, world_x, world_y, w, h, name), transparent around it.
+    """name, part_row, part_column, content: images of each kept drawing (component, world_x, world_y, w, h, name), transparent around it.
 
-    A drawing's pixels meet in one group, so drawings wider or higher than largest are left out.
+    A drawing wider or higher than largest is cut into a grid of parts of that size, named by
+    their place in it, so that what meets in one group is bounded; parts without a pixel of
+    the drawing have no image. Other drawings are the part 0, 0 under their own name.
     """
     import numpy as np
     import pyarrow as pa
 
     from tilewright.sources.png import encode
 
-    boxes = kept.where((F.col("w") <= largest) & (F.col("h") <= largest)).select("component", "world_x", "world_y", "w", "h", "name")
-    rows = labelled.join(boxes, "component").select("component", "name", "w", "h", (F.col("wx") - F.col("world_x")).alias("cx"), (F.col("wy") - F.col("world_y")).alias("cy"), "rgb24")
+    boxes = kept.select("component", "world_x", "world_y", "w", "h", "name")
+    rows = labelled.join(boxes, "component").withColumns({"cx": F.col("wx") - F.col("world_x"), "cy": F.col("wy") - F.col("world_y")})
+    row, column = (F.floor(F.col(c) / largest).cast("int") for c in ("cy", "cx"))
+    rows = rows.withColumns({"part_row": row, "part_column": column})
+    whole = (F.col("w") <= largest) & (F.col("h") <= largest)
+    part_name = F.concat(F.regexp_replace("name", r"\.png$", ""), F.lit("_r"), F.col("part_row").cast("string"), F.lit("_c"), F.col("part_column").cast("string"), F.lit(".png"))
+    rows = rows.select(
+        "component",
+        "part_row",
+        "part_column",
+        F.when(whole, F.col("name")).otherwise(part_name).alias("name"),
+        F.least(F.lit(largest), F.col("w") - F.col("part_column") * largest).alias("w"),
+        F.least(F.lit(largest), F.col("h") - F.col("part_row") * largest).alias("h"),
+        (F.col("cx") % largest).alias("cx"),
+        (F.col("cy") % largest).alias("cy"),
+        "rgb24",
+    )
 
     def run(key, table):
         w, h = table.column("w")[0].as_py(), table.column("h")[0].as_py()
         image = np.zeros((h, w, 4), np.uint8)
         c = table.column("rgb24").to_numpy()
         image[table.column("cy").to_numpy(), table.column("cx").to_numpy()] = np.stack([c >> 16 & 255, c >> 8 & 255, c & 255, np.full(len(c), 255)], axis=1)
-        return pa.table({"name": pa.array([table.column("name")[0].as_py()]), "content": pa.array([encode(image)], pa.binary())})
+        part = {n: table.column(n).slice(0, 1) for n in ("name", "part_row", "part_column")}
+        return pa.table({**part, "content": pa.array([encode(image)], pa.binary())})
 
-    return rows.groupBy("component").applyInArrow(run, "name string, content binary")
+    return rows.groupBy("component", "part_row", "part_column").applyInArrow(run, "name string, part_row int, part_column int, content binary")

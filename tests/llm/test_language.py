@@ -66,3 +66,11 @@ def test_odd_rows(odd, empty):
     assert L.identify(empty).count() == 0
     unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in L.identify(unlabelled).collect()} == {"und"}
+
+
+def test_language_of_copies_is_learned(spark):
+    """A language that is one text in many copies is predicted."""
+    other = [(i, f"the {i} small birds were singing in the garden before noon {i * 7}", "en") for i in range(3000)]
+    docs = spark.createDataFrame(other + [(i, "żółty źrebak chodził przez łąkę i śnił o wiośnie", "pl") for i in range(3000, 6000)], "doc_id long, text string, lang string")
+    rows = L.identify(docs, 200).collect()
+    assert np.mean([r.lang_pred == ("en" if r.doc_id < 3000 else "pl") for r in rows]) > 0.98

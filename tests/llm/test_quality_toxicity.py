@@ -89,3 +89,26 @@ def test_grades_in_the_labels(spark):
         mean.setdefault(r.doc_id % 4, []).append(r.severity)
     values = [np.mean(mean[k]) for k in range(4)]
     assert values == sorted(values) and values[3] > values[1] + 0.5
+
+
+def test_quality_learns_from_few_distinct_texts(spark):
+    """Two texts in many copies are both drawn, so the junk among them isn't kept."""
+    good = "The river bends here, and people walk along it in the evening. " * 8
+    junk = "BUY|now !!! $$$ *** | | | WIN WIN WIN $$$ ### | | " * 8
+    docs = spark.createDataFrame([(i, good if i % 4 else junk) for i in range(4000)], "doc_id long, text string")
+    rows = Q.classify(docs, 40).collect()
+    assert {r.kept for r in rows if r.doc_id % 4} == {True} and {r.kept for r in rows if r.doc_id % 4 == 0} == {False}
+
+
+def test_distinct_sample(spark):
+    from pyspark.sql import functions as F
+
+    from tilewright.llm.common import distinct_sample
+
+    texts = spark.createDataFrame([("a", f"t{i % 7}") for i in range(700)] + [("b", f"t{i}") for i in range(3000)] + [("c", "t0")], "part string, text string")
+    rows = distinct_sample(texts, 50).collect()
+    expected = {}
+    for r in texts.distinct().withColumn("h", F.xxhash64("text")).collect():
+        expected.setdefault(r.part, []).append((r.h % (1 << 30), r.h, r.text))
+    assert {p: {r.text for r in rows if r.part == p} for p in "abc"} == {p: {t for _, _, t in sorted(v)[:50]} for p, v in expected.items()}
+    assert len(rows) == 58 and {r.n for r in rows if r.part == "a"} == {100} and {r.n for r in rows if r.part != "a"} == {1}

@@ -121,6 +121,28 @@ def ranges(counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(starts, counts)
 
 
+def distinct_sample(texts: DataFrame, most: int) -> DataFrame:
+    """(part, hash, n, text): of each part of texts(part, text) the most distinct texts of least hash (all if there are fewer).
+
+    n is the number of the text's rows. There are few parts.
+    """
+    spark = texts.sparkSession
+    hashed = texts.select("part", "text", F.xxhash64("text").alias("hash"))
+    place = F.pmod("hash", F.lit(1 << 30))
+    found = keep(hashed.groupBy("part", "hash").agg(F.count("*").alias("n")), "hashes")
+    sizes = found.groupBy("part").agg(F.count("*").alias("texts")).collect()
+    # hashes are even, so that the first ones lie below this; all of a small part do
+    below = [F.when(F.col("part") == r["part"], F.lit(int(min(1.0, (1.5 * most + 100) / r["texts"]) * (1 << 30)))) for r in sizes]
+    first = found.where(place < F.coalesce(*below)).select("part", "hash", "n").collect() if sizes else []
+    parts: dict = {}
+    for r in sorted(first, key=lambda r: (r["hash"] % (1 << 30), r["hash"])):
+        if len(own := parts.setdefault(r["part"], [])) < most:
+            own.append((r["part"], r["hash"], r["n"]))
+    chosen = spark.createDataFrame([r for own in parts.values() for r in own], "part string, hash long, n long")
+    drop(found)
+    return hashed.join(F.broadcast(chosen), ["part", "hash"]).groupBy("part", "hash").agg(F.first("n").alias("n"), F.first("text").alias("text"))
+
+
 def numbered(df: DataFrame, label: str, *classes: str, run=None, fields: str | None = None) -> DataFrame:
     """Adds class_rank (0, 1, ... within each combination of the class columns) without sorting a class.
 

@@ -3,7 +3,7 @@
 The network reads a text's UTF-8 bytes in windows, forwards and backwards; at every byte both
 states together give a probability for each language, and a document's probabilities are
 their means over all its bytes. It is trained in numpy by backpropagation through time on a
-bounded sample of labelled rows, drawn by a hash of the text at a rate for each language.
+bounded sample of distinct labelled texts, for each language those of least hash.
 
 Edge cases: null texts and texts without a letter are und with score 0; rows with a null lang
 or an excluded doc_id don't train; a null doc_id isn't held out and doesn't train; without
@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, ranges, small_batches, text_of, utf8
+from tilewright.llm.common import blocks, distinct_sample, ranges, small_batches, text_of, utf8
 
 #: Bytes of a window at prediction, and in training.
 WINDOW, TRAIN_WINDOW = 256, 96
 #: Size of a state, steps of training, windows of a step, windows that a sampled document gives.
 HIDDEN, STEPS, STEP_WINDOWS, WINDOWS_PER_DOC = 8, 260, 192, 6
-#: Bound of the training sample, in documents, shared by the languages.
+#: Bound of the training sample, in distinct texts, shared by the languages.
 SAMPLE = 4000
 RATE = 0.02
 
@@ -160,28 +160,26 @@ def held_out() -> Column:
 def _windows(per_doc: int):
     def run(batches):
         for batch in batches:
-            lang, text = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
-            for code, body in zip(lang, text, strict=True):
+            for code, key, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = body.encode()
                 n = -(-len(raw) // TRAIN_WINDOW)
                 step = max(1, n // per_doc)
-                rows += [(code, raw[i * TRAIN_WINDOW : (i + 1) * TRAIN_WINDOW]) for i in range(0, n, step)][:per_doc]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], names=["lang", "window"])
+                rows += [(code, key, i, raw[i * TRAIN_WINDOW : (i + 1) * TRAIN_WINDOW]) for i in range(0, n, step)][:per_doc]
+            kinds = (("lang", pa.string()), ("hash", pa.int64()), ("nth", pa.int64()), ("window", pa.binary()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, (_, t) in enumerate(kinds)], names=[n for n, _ in kinds])
 
     return run
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> ByteGRU | None:
-    """A network from labelled(lang, text): at most about sample documents, a like number for each language."""
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
-    if not counts:
+    """A network from labelled(lang, text): at most sample distinct texts (20 for each language at least), a like number for each language."""
+    languages = sorted(r["lang"] for r in labelled.select("lang").distinct().collect())  # one row for each language
+    if not languages:
         return None
-    languages = sorted(counts)
-    share = max(20, sample // len(languages))
-    rate = F.element_at(F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(1.0, share / n)))), F.col("lang"))
-    chosen = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < rate * (1 << 30))
-    rows = chosen.select("lang", "text").mapInArrow(_windows(WINDOWS_PER_DOC), "lang string, window binary").toArrow()
+    chosen = distinct_sample(labelled.select(F.col("lang").alias("part"), "text"), max(20, sample // len(languages)))
+    windows = chosen.select("part", "hash", "text").mapInArrow(_windows(WINDOWS_PER_DOC), "lang string, hash long, nth long, window binary")
+    rows = windows.toArrow().sort_by([(c, "ascending") for c in ("hash", "lang", "nth")])
     raw = rows.column("window").to_pylist()
     windows = np.full((len(raw), TRAIN_WINDOW), 256, np.int64)
     for row, body in zip(windows, raw, strict=True):

@@ -3,8 +3,8 @@
 Eight heuristic labellers look at every document and vote good, bad or not at all. The
 expectation-maximisation of a model in which each labeller has its own accuracies runs on the
 counts of the vote patterns, at most 3**8 whatever the corpus holds, and gives each pattern's
-posterior. The posteriors of a bounded sample of documents are the labels of a logistic
-scorer on hashed word shapes, word ends and repetitions, which then scores every document.
+posterior. The posteriors of a bounded sample of distinct texts, with the number of their rows
+as weights, are the labels of a logistic scorer on hashed word shapes, word ends and repetitions, which then scores every document.
 
 Edge cases: null, empty and all-space texts have no words, score 0 and are rejected; repeated
 rows get the same answer; with fewer than two documents with words nothing is learned and all
@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, mix64, small_batches, text_of, utf8
+from tilewright.llm.common import SPACE, blocks, distinct_sample, mix64, small_batches, text_of, utf8
 from tilewright.llm.word_features import Words
 
 LABELLERS = ("adjacent repeats", "distinct words", "capitals", "symbols", "bars", "word length", "short words", "sentence marks")
-#: Buckets of the scorer, and the bound of its sample in documents.
+#: Buckets of the scorer, and the bound of its sample in distinct texts.
 BUCKETS, SAMPLE = 1024, 6000
 #: So many words without features are added to each text, so that a few words are weak evidence.
 PRIOR_WORDS = 10
@@ -107,13 +107,14 @@ def vectors(words: Words) -> np.ndarray:
     return (flat.reshape(n, BUCKETS) / (words.counts + PRIOR_WORDS)[:, None]).astype(np.float32)
 
 
-def fit_scorer(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic weights for soft labels, by Adam; the bias is the labels' log odds, so no evidence means the common answer."""
-    share = float(np.clip(y.mean(), 0.6, 0.99))
+def fit_scorer(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 400, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic weights for soft labels of rows with a weight, by Adam; the bias is the labels' log odds, so no evidence means the common answer."""
+    weight = weight / weight.sum()
+    share = float(np.clip(weight @ y, 0.6, 0.99))
     b = float(np.log(share / (1 - share)))
     w, m, s = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
     for step in range(1, steps + 1):
-        g = x.T @ ((1 / (1 + np.exp(-np.clip(x @ w + b, -50, 50))) - y) / len(y)) + decay * w
+        g = x.T @ ((1 / (1 + np.exp(-np.clip(x @ w + b, -50, 50))) - y) * weight) + decay * w
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         w = w - rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
     return w, b
@@ -130,10 +131,9 @@ def _patterns(batches):
 def _samples(batches):
     for batch in batches:
         for part in blocks(batch, "text"):
-            words = Words(*utf8(part.column(0)))
-            some = words.counts > 0
-            code = (votes(words) @ (3 ** np.arange(len(LABELLERS))))[some]
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array([v.tobytes() for v in vectors(words)[some]], pa.binary())], names=["pattern", "vector"])
+            words = Words(*utf8(part.column(2)))
+            code = votes(words) @ (3 ** np.arange(len(LABELLERS)))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(code), pa.array([v.tobytes() for v in vectors(words)], pa.binary())], names=["hash", "n", "pattern", "vector"])
 
 
 def _scores(model):
@@ -162,12 +162,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE):
     code = np.array([r["pattern"] for r in found])
     patterns = code[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
     posterior = dict(zip(code.tolist(), label_model(patterns, np.array([r["n"] for r in found], float))[0].tolist(), strict=True))
-    chosen = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(1.0, sample / total) * (1 << 30)))
-    rows = chosen.mapInArrow(_samples, "pattern long, vector binary").toArrow()
-    if rows.num_rows < 2:
-        return None
+    worded = texts.where(F.col("text").rlike(f"[^{SPACE}]")).select(F.lit("").alias("part"), "text")
+    chosen = distinct_sample(worded, sample).select("hash", "n", "text")
+    rows = chosen.mapInArrow(_samples, "hash long, n long, pattern long, vector binary").toArrow().sort_by("hash")
     x = np.frombuffer(b"".join(rows.column("vector").to_pylist()), np.float32).reshape(rows.num_rows, BUCKETS)
-    return fit_scorer(x.astype(np.float64), np.array([posterior[p] for p in rows.column("pattern").to_pylist()]))
+    return fit_scorer(x.astype(np.float64), np.array([posterior[p] for p in rows.column("pattern").to_pylist()]), rows.column("n").to_numpy().astype(np.float64))
 
 
 def classify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

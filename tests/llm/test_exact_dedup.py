@@ -63,3 +63,23 @@ def test_definition():
         for c in raw:
             h = (h * r + c + 1) % p
         assert h == fingerprint(raw)[k]
+
+
+def test_hot_groups(spark, odd, monkeypatch):
+    """With small bounds most groups take the way of hot ones."""
+    from tilewright.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    rows = [(i, f"text {i % 7}" if i % 3 else "the same") for i in range(60)]
+    for df, expected in ((spark.createDataFrame(rows, "doc_id long, text string"), rows), (odd, [(r.doc_id, r.text) for r in odd.collect()])):
+        assert sorted(map(tuple, E.exact_dedup(df).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=repr) == brute(expected)
+
+
+def test_no_scratch_folder_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from tilewright.llm.common import scratch_root
+
+    away = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://somewhere:7077"))
+    with pytest.raises(RuntimeError):
+        scratch_root(away)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,30 +27,42 @@ def text_of(col: str = "text") -> Column:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; an own temporary one only where none is set."""
+    """The shared folder of spark.checkpoint.dir; where none is set, an own temporary one if all runs on this machine, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tilewright-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A setting of the session for a while."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Writes df as a table in the shared scratch folder and reads it back.
 
-    Cuts lineage like checkpoint(), but as compressed columns. The files go when
-    the JVM ends; drop() removes them sooner.
+    Cuts lineage like checkpoint(), but as compressed columns; the shuffle files of the plan go
+    as soon as it has run. The table's files go when the JVM ends; drop() removes them sooner.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/tilewright-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", "zstd").parquet(path)
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    # the shuffle files of plans that have run go once the driver's objects for them are collected
-    gc.collect()
-    spark.range(1).collect()  # the scheduler holds on to its last job
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # its events hold the plan
-    spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._tilewright_path = path
     return out
@@ -191,3 +203,46 @@ def worker_cache() -> dict:
     import types
 
     return sys.modules.setdefault("_tilewright_worker", types.ModuleType("_tilewright_worker")).__dict__
+
+
+#: A key with this share of all rows or more is hot, and at least so many rows.
+HOT_SHARE, HOT_ROWS = 1000, 1000
+#: Cells of the semi filter.
+CELLS = 1 << 20
+
+
+def lookup(rows: DataFrame, groups: DataFrame, on: list[tuple[str, str]], n: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with groups(one row for each key, n: the rows of the key), whatever a key's share of the total rows.
+
+    At most HOT_SHARE keys can have a share of 1 / HOT_SHARE of all rows, so the hot ones are
+    broadcast; no task of the join of the others has a key beyond that share. on: pairs of a
+    column of rows and one of groups, whose names differ from all those of rows.
+    """
+    least = max(total // HOT_SHARE, HOT_ROWS)
+    same = [F.col(a) == F.col(b) for a, b in on]
+    hot = groups.where(F.col(n) >= least)
+    if hot.isEmpty():
+        return rows.join(groups, same, how)
+    hot = F.broadcast(hot)
+    near = rows.join(hot, same)
+    far = rows.join(hot, same, "left_anti").join(groups.where(F.col(n) < least), same, how)
+    return near.unionByName(far)
+
+
+def semi_filter(rows: DataFrame, wanted: DataFrame, key: str, wanted_key: str, how: str = "left_semi") -> DataFrame:
+    """The rows whose key may be among those of wanted, before any shuffle: all of these, and others with a like hash.
+
+    What is broadcast are the cells of the wanted keys, CELLS long values at most; where these are
+    nearly all taken the filter passes everything. With how left_anti, the rows that it leaves out.
+    """
+    cells = wanted.select(F.pmod(F.xxhash64(wanted_key), F.lit(CELLS)).alias("_cell")).distinct()
+    return rows.join(F.broadcast(cells), F.pmod(F.xxhash64(key), F.lit(CELLS)) == F.col("_cell"), how)
+
+
+def taken_cells(words: DataFrame) -> np.ndarray:
+    """A flag for each of CELLS cells: whether the column of 64-bit words has one that falls into it."""
+    out = np.zeros(CELLS, bool)
+    column = words.columns[0]
+    # CELLS rows at most
+    out[words.select(F.pmod(column, F.lit(CELLS)).cast("int").alias("c")).distinct().toArrow().column(0).to_numpy()] = True
+    return out

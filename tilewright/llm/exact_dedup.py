@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import blocks, cut, keep, small_batches, text_of, utf8
+from tilewright.llm.common import CELLS, blocks, cut, keep, lookup, small_batches, taken_cells, text_of, utf8
 
 #: The four largest primes below 2**31, and a base for each.
 PRIMES = np.array([2147483647, 2147483629, 2147483587, 2147483579], np.int64)
@@ -108,37 +108,30 @@ def power_table() -> np.ndarray:
     return powers(np.arange(CHUNK - 1, -1, -1)).astype(np.float64)
 
 
-def _fingerprints(bits: int):
+def _fingerprints(bits: int, wanted: np.ndarray | None = None):
+    """The fingerprints of all texts; with wanted, those with their bodies of the texts whose first word lies in a wanted cell."""
+
     def run(batches):
         table, mask = power_table(), (1 << bits) - 1
         for batch in batches:
             for part in blocks(batch, "text"):
                 data, at = normalise(*utf8(part.column(1)))
                 print_ = fingerprint_block(data, at, table)
+                f1, f2 = (((print_[:, i] << 31) | print_[:, i + 1]) & mask for i in (0, 2))
                 texts = cut(data, at)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(((print_[:, 0] << 31) | print_[:, 1]) & mask),
-                        pa.array(((print_[:, 2] << 31) | print_[:, 3]) & mask),
-                        pa.array(np.diff(at)),
-                        pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
-                        pa.array(texts, pa.binary()),
-                    ],
-                    names=["doc_id", "f1", "f2", "n_bytes", "text_sha256", "body"],
-                )
+                ids, size = part.column(0), np.diff(at)
+                if wanted is not None:
+                    some = np.flatnonzero(wanted[f1 % CELLS])
+                    ids, f1, f2, size, texts = ids.take(pa.array(some)), f1[some], f2[some], size[some], [texts[i] for i in some.tolist()]
+                columns = [ids, pa.array(f1), pa.array(f2), pa.array(size), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())]
+                names = ["doc_id", "f1", "f2", "n_bytes", "text_sha256"]
+                if wanted is not None:
+                    columns, names = [*columns, pa.array(texts, pa.binary())], [*names, "body"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _without_body(run):
-    def narrow(batches):
-        for batch in run(batches):
-            yield batch.select(["doc_id", "f1", "f2", "n_bytes", "text_sha256"])
-
-    return narrow
-
-
 def _chunks(batches):
     """A row for each chunk of a text; the text that would stay gives one for each share of its group."""
     names = ["g1", "g2", "g3", "share", "chunk", "doc_id", "first", "piece"]
@@ -164,35 +157,43 @@ def exact_dedup(docs: DataFrame, bits: int = 62) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     key = ["f1", "f2", "n_bytes"]
     fields = "doc_id long, f1 long, f2 long, n_bytes long, text_sha256 string"
-    run = _fingerprints(bits)
-    prints = keep(narrow.mapInArrow(_without_body(run), fields).withColumn("row", F.monotonically_increasing_id()), "prints")
+    prints = keep(narrow.mapInArrow(_fingerprints(bits), fields).withColumn("row", F.monotonically_increasing_id()), "prints")
+    total = prints.count()
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "text_sha256")
 
-    def groups(by: list[str]) -> DataFrame:
-        found = prints if by is key else prints_split
-        return found.groupBy(*by).agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
-
-    several = groups(key).where("group_size > 1").select(*key, F.col("first.doc_id").alias("keep_id"), F.col("first.text_sha256").alias("first_sha256"), "group_size")
-    bodies = narrow.mapInArrow(run, fields + ", body binary").join(several, key).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))
-    chunks = bodies.mapInArrow(_chunks, "g1 long, g2 long, g3 long, share int, chunk int, doc_id long, first boolean, piece binary")
+    def groups(rows: DataFrame, by: list[str]) -> DataFrame:
+        """Those of several rows, by columns g_..."""
+        found = rows.groupBy(*(F.col(c).alias(f"g_{c}") for c in by)).agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
+        return found.where("group_size > 1")
+
+    def on(by: list[str]) -> list[tuple[str, str]]:
+        return [(c, f"g_{c}") for c in by]
+
+    several = keep(groups(prints, key), "several")
+    found = several.select("g_f1", "g_f2", "g_n_bytes", F.col("first.doc_id").alias("keep_id"), F.col("first.text_sha256").alias("first_sha256"), "group_size")
+    # only the bodies of groups of several rows leave Python (and a few whose fingerprints fall into their cells)
+    bodies = narrow.mapInArrow(_fingerprints(bits, taken_cells(several.select("g_f1"))), fields + ", body binary")
+    bodies = lookup(bodies, found, on(key), "group_size", total).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))
+    chunks = bodies.select(*key, "doc_id", "text_sha256", "body", "keep_id", "first_sha256", "group_size", "salt").mapInArrow(
+        _chunks, "g1 long, g2 long, g3 long, share int, chunk int, doc_id long, first boolean, piece binary"
+    )
     at = ["g1", "g2", "g3", "share", "chunk"]
     first = chunks.where("first").select(*at, F.col("piece").alias("first_piece")).dropDuplicates(at)
     unlike = keep(
         chunks.where("not first").join(first, at, "left").where("piece is distinct from first_piece").select("g1", "g2", "g3", "doc_id").distinct(), "unlike"
     )
-    by = key
+    rows, by = prints, key
     if not unlike.isEmpty():  # equal fingerprints of unlike texts: these rows are grouped by their digests too
         marked = unlike.select(F.col("g1").alias("f1"), F.col("g2").alias("f2"), F.col("g3").alias("n_bytes"), "doc_id", F.lit(True).alias("apart"))
-        on = [prints[c].eqNullSafe(marked[c]) for c in (*key, "doc_id")]
-        prints_split = prints.join(marked, on, "left").select(*(prints[c] for c in prints.columns), F.when(F.col("apart"), F.col("text_sha256")).otherwise("").alias("split"))
-        by = [*key, "split"]
-    rows = prints if by is key else prints_split
-    out = rows.join(groups(by), by)
+        same = [prints[c].eqNullSafe(marked[c]) for c in (*key, "doc_id")]
+        rows, by = prints.join(marked, same, "left").select(*(prints[c] for c in prints.columns), F.when(F.col("apart"), F.col("text_sha256")).otherwise("").alias("split")), [*key, "split"]
+        several = keep(groups(rows, by), "several")
+    out = lookup(rows, several, on(by), "group_size", total, "left")
     return out.select(
         "doc_id",
-        F.col("first.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("row") == F.col("first.row")).alias("kept"),
+        F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        (F.col("first").isNull() | (F.col("row") == F.col("first.row"))).alias("kept"),
         "text_sha256",
         "n_bytes",
         F.format_string("%016x%016x", "f1", "f2").alias("fingerprint"),

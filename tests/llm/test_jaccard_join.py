@@ -79,3 +79,62 @@ def test_sets_without_enough_low_tokens(spark, monkeypatch):
     monkeypatch.setattr(J, "SHARE", 0.12)
     rows = [(i, edited(i, prose(i // 3, 200), i % 3 * 2)) for i in range(30)]
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def chain(n, words=40, step=7):
+    """Texts of which each shares most of its words with the next one, but no two are similar enough."""
+    r = random.Random(8)
+    pool = [f"word{r.randrange(10**9)}" for _ in range(n * step + words)]
+    return [(i, " ".join(pool[i * step : i * step + words])) for i in range(n)]
+
+
+def test_chain_of_weak_candidates(spark, monkeypatch):
+    """A chain that prefixes tie together makes no work that grows with its square."""
+    monkeypatch.setattr(J, "BLOCK", 8)
+    n = 400
+    rows = chain(n)
+    shipped = []
+    tasks = J._tasks
+    monkeypatch.setattr(J, "_tasks", lambda *a: shipped.append(tasks(*a)) or shipped[0])
+    monkeypatch.setattr(J, "drop", lambda df: None)
+    result = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [r[2] for r in result] == [r[0] for r in result] and {r[3] for r in result} == {0}
+    clustered = shipped[0].select("rep").distinct().count()
+    assert clustered > n / 2, "prefixes under one order tie them together"
+    assert shipped[0].count() <= 8 * n
+
+
+def test_long_chain_of_links(spark, monkeypatch):
+    """A chain of true links goes by its pairs, not by all pairs of blocks."""
+    monkeypatch.setattr(J, "BLOCK", 4)
+    shipped, tasks = [], J._tasks
+    monkeypatch.setattr(J, "_tasks", lambda *a: shipped.append(tasks(*a)) or shipped[0])
+    monkeypatch.setattr(J, "drop", lambda df: None)
+    rows = chain(400, 60, 3)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert shipped[0].count() <= 400 * 25 and shipped[0].where("i = -1").count() > 0
+
+
+def test_filters_intersect():
+    """Each order's filter lets through every pair that links, and all together hardly any other."""
+    r, sets = random.Random(4), []
+    for g in range(12):
+        base = [r.randrange(1 << 64) for _ in range(60)]
+        for k in range(12):
+            kept = [x for x in base if r.random() > 0.03 * k]
+            sets.append(J.np.unique(J.np.array(kept + [r.randrange(1 << 64) for _ in range(60 - len(kept))], J.np.uint64)))
+    counted = {}
+    links = J.verified(sets, counted=counted)
+    expected = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))]
+    assert links == expected and len(links) <= counted["pairs"] < len(sets) * len(sets) / 4
+    home = J.np.arange(len(sets)) % 2
+    by = J.np.argsort(home, kind="stable")
+    between = {tuple(sorted((int(by[i]), int(by[j])))) for i, j in J.verified([sets[i] for i in by], home[by])}
+    assert between == {(i, j) for i, j in expected if home[i] != home[j]}
+
+
+def test_hot_classes(spark, odd, monkeypatch):
+    from tilewright.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    assert found(odd) == brute([(r.doc_id, r.text) for r in odd.collect()])

@@ -5,14 +5,18 @@ tokens of either, whatever order the tokens are put in. The join narrows in thre
 
 1. Index. Every document sends its shingle hashes below a threshold (all of them if it is
    short) to the partitions of the hashes, which count in how many different sets each
-   occurs. In the order by rising count a set whose prefix consists of unshared tokens has no
-   partner, which settles most documents. The others' prefixes are joined on their tokens;
-   a bucket gives one edge for each member, never its pairs.
-2. Clusters. The components of these edges hold every pair that can link. A cluster's sets
-   travel once, in blocks of bounded size.
-3. Verification. In a block a pair is a candidate if it shares a prefix token under each of
-   several token orders (by count, then by different scramblings of the hash); candidates are
-   verified by their exact intersection. Links leave a block as a spanning forest.
+   occurs. In the global order by rising count a set whose prefix consists of unshared tokens
+   has no partner, which settles most documents. The others' prefixes are joined on their
+   tokens; a bucket gives one edge for each member, never its pairs.
+2. Clusters. The components of these edges hold every pair that can link. The few clusters
+   above a block part again, by the components of shared prefix tokens under two more global
+   orders (different scramblings of the hash), since a pair must share one under each. The
+   sets of a cluster travel once; what is still above a block goes in blocks of bounded size,
+   every two of which meet, or, where prefix buckets hold fewer pairs than that takes rows
+   (chains), as the pairs of the buckets.
+3. Verification. A pair is a candidate if it shares a prefix token under all three orders: by
+   rarity among the sets at hand, and by either scrambling. Candidates are verified by their
+   exact intersection. Links leave a block as a spanning forest.
 
 Documents with the same set are one class, joined by its smallest doc_id, so copies cost one
 index entry and no pairs. Tokens that many documents of one task share skip the counting and
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.blobs import blob_batch, by_kind, dealt, gathered
-from tilewright.llm.common import blocks, drop, keep, mix64, ranges, small_batches, text_of, utf8, wide
+from tilewright.llm.common import blocks, drop, keep, lookup, mix64, ranges, semi_filter, small_batches, text_of, utf8, wide
 from tilewright.llm.components import components
 from tilewright.llm.shingles import shingle_sets
 
@@ -42,10 +46,10 @@ SMALL, LONG, SHARE = 160, 128, 0.4
 #: A token in this many sets of one task's block and in an eighth of them ranks last unseen.
 COMMON = 64
 LAST = np.uint32(0xFFFFFFFF)
-#: Scramblings of the hash that break ties between equal counts, one for each order.
-ORDERS = (0, 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+#: Scramblings of the hash that are global orders besides the one by count.
+ORDERS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 #: Sets in a block of a cluster, and their tokens.
-BLOCK, BLOCK_TOKENS = 1000, 600_000
+BLOCK, BLOCK_TOKENS = 256, 300_000
 
 _VIEW = np.uint64(3)
 
@@ -198,56 +202,62 @@ def clusters(docs: DataFrame) -> DataFrame:
     parts = wide(docs.sparkSession)
     blob = "kind int, pid int, blob binary"
     index = keep(docs.select(text_of().alias("text")).mapInArrow(_index(parts), blob), "index")
-    counted = index.where("kind in (0, 3)").repartition(parts, "pid").mapInArrow(_count(parts), blob)
+    counted = index.where("kind in (0, 3)").repartitionById(parts, F.col("pid")).mapInArrow(_count(parts), blob)
     told = index.where("kind in (1, 2)").union(counted)
-    prefixes = told.repartition(parts, "pid").mapInArrow(_prefixes(parts), blob)
-    edges = keep(prefixes.repartition(parts, "pid").mapInArrow(_stars, "a long, b long"), "stars")
+    prefixes = told.repartitionById(parts, F.col("pid")).mapInArrow(_prefixes(parts), blob)
+    edges = keep(prefixes.repartitionById(parts, F.col("pid")).mapInArrow(_stars, "a long, b long"), "stars")
     drop(index)
     return components(edges)
 
 
-def verified(sets: list[np.ndarray], orders: tuple = ORDERS) -> list[tuple[int, int]]:
-    """All pairs (i, j), i < j, of similarity 0.8 or more."""
+def ordered_prefix(tokens: np.ndarray, salt: int) -> np.ndarray:
+    """The prefix of a set in the global order of a scrambling."""
+    k = len(tokens) // 5 + 1
+    scrambled = mix64(tokens ^ np.uint64(salt))
+    return tokens[np.argpartition(scrambled, k - 1)[:k]] if k < len(tokens) else tokens
+
+
+def verified(sets: list[np.ndarray], home: np.ndarray | None = None, counted: dict | None = None) -> list[tuple[int, int]]:
+    """All pairs (i, j), i < j, of similarity 0.8 or more; with home, only those of different homes (0 and 1, ascending).
+
+    counted gets the number of pairs that came to verification.
+    """
     n = np.fromiter(map(len, sets), np.int64, len(sets))
-    if len(sets) < 2:
+    if len(sets) < 2 or (home is not None and (home[0] or not home[-1])):
         return []
-    if len(sets) == 2:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return [(0, 1)] if 100 * both >= 80 * (n.sum() - both) else []
     owner = np.repeat(np.arange(len(sets)), n)
     values, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     prefix = prefix_length(n)
-    masks = []
-    for salt in orders:
+    first = ranges(n) < prefix[owner]
+    filters = []
+    for by in (np.lexsort((mix64(values), count)), *(np.argsort(mix64(values ^ np.uint64(salt))) for salt in ORDERS)):
         rank = np.empty(len(values), np.int64)
-        rank[np.lexsort((mix64(values ^ np.uint64(salt)), count))] = np.arange(len(values))
-        by_rank = np.lexsort((rank[token], owner))
-        first = ranges(n) < prefix[owner]
-        masks.append((token[by_rank][first], owner[by_rank][first]))
-    posting = []
-    for t, o in masks:
+        rank[by] = np.arange(len(values))
+        t = token[np.lexsort((rank[token], owner))][first]
+        o = owner[first]
         order = np.argsort(t, kind="stable")
-        t, o = t[order], o[order]
-        posting.append((o, np.searchsorted(t, np.arange(len(values) + 1))))
+        # the prefix tokens of each set, and the sets of each token
+        filters.append((t, np.searchsorted(o, np.arange(len(sets) + 1)), o[order], np.searchsorted(t[order], np.arange(len(values) + 1))))
     by_token = np.argsort(token, kind="stable")
-    whole = (owner[by_token], np.searchsorted(token[by_token], np.arange(len(values) + 1)))
+    o, at = owner[by_token], np.searchsorted(token[by_token], np.arange(len(values) + 1))
     mine = np.cumsum(n) - n
-    cuts = [np.searchsorted(o, np.arange(len(sets) + 1)) for _, o in masks]
+    every = np.arange(len(sets))
     out = []
-    for i in range(len(sets) - 1):
-        found = (np.arange(len(sets)) > i) & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i]))
-        for (t, _), cut, (o, at) in zip(masks, cuts, posting, strict=True):
+    for i in range(len(sets) - 1) if home is None else np.flatnonzero(home == 0).tolist():
+        found = ((every > i) if home is None else (home == 1)) & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i]))
+        for t, cut, posting, start in filters:
             if not found.any():
                 break
             tokens = t[cut[i] : cut[i + 1]]
-            size = at[tokens + 1] - at[tokens]
+            size = start[tokens + 1] - start[tokens]
             near = np.zeros(len(sets), bool)
-            near[o[np.repeat(at[tokens], size) + ranges(size)]] = True
+            near[posting[np.repeat(start[tokens], size) + ranges(size)]] = True
             found &= near
         if not found.any():
             continue
+        if counted is not None:
+            counted["pairs"] = counted.get("pairs", 0) + int(found.sum())
         tokens = token[mine[i] : mine[i] + n[i]]
-        o, at = whole
         size = at[tokens + 1] - at[tokens]
         both = np.bincount(o[np.repeat(at[tokens], size) + ranges(size)], minlength=len(sets))
         out += [(i, int(j)) for j in np.flatnonzero(found & (100 * both >= 80 * (n + n[i] - both)))]
@@ -259,9 +269,9 @@ def _verify(batches):
     names = ["a", "b", "links"]
 
     def links(keys, ids, home, sets):
-        found = verified(sets)
-        if keys[1] != keys[2]:  # of two blocks only the pairs between them
-            found = [(i, j) for i, j in found if home[i] != home[j]]
+        by = np.argsort(home, kind="stable")
+        ids, sets, home = [ids[i] for i in by], [sets[i] for i in by], np.array(home)[by]
+        found = verified(sets, None if keys[1] == keys[2] else home)  # of two blocks only the pairs between them
         root = list(range(len(sets)))
 
         def find(x):
@@ -315,6 +325,85 @@ def _without_tokens(batches):
         yield batch.select(["doc_id", "id", "k1", "k2", "n_shingles"])
 
 
+def _prefix_entries(salt: int):
+    """(root, cls, token) of the prefixes under an order."""
+
+    def run(batches):
+        for batch in batches:
+            root, cls = (batch.column(i).to_numpy() for i in range(2))
+            found = [ordered_prefix(np.frombuffer(t, np.uint64), salt) for t in batch.column(2).to_pylist()]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            token = np.concatenate(found) if found else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(root, size)), pa.array(np.repeat(cls, size)), pa.array(token.view(np.int64))], names=["root", "cls", "token"])
+
+    return run
+
+
+def _entries(placed: DataFrame, salt: int) -> DataFrame:
+    """The entries of the prefixes under an order that several sets of a cluster share, with the bucket's least class and size."""
+    entries = placed.select("root", "k1", "tokens").mapInArrow(_prefix_entries(salt), "root long, cls long, token long").distinct()
+    buckets = entries.groupBy(F.col("root").alias("b_root"), F.col("token").alias("b_token")).agg(F.min("cls").alias("least"), F.count("*").alias("held")).where("held > 1")
+    return entries.join(buckets, (F.col("root") == F.col("b_root")) & (F.col("token") == F.col("b_token"))).drop("b_root", "b_token")
+
+
+def _sizes(members: DataFrame) -> DataFrame:
+    """(r, held_sets, parts) of each cluster: the number of its sets and of the blocks that hold them."""
+    n = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_TOKENS)).cast("int")
+    return members.groupBy(F.col("root").alias("r")).agg(F.count("*").alias("held_sets"), n.alias("parts"))
+
+
+def _tasks(spark, members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(root, i, j, rep, home, tokens): the sets of each task of verification, sorted by task.
+
+    members(m1, m2, size, rep, root) are the classes, sets(rep, k1, k2, n_shingles, tokens) their
+    sets, a row for each repeated row of a document.
+    """
+    same = (F.col("rep") == F.col("p_rep")) & (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2"))
+
+    def placed(some: DataFrame, *extra: str) -> DataFrame:
+        return sets.join(some.select("m1", "m2", F.col("rep").alias("p_rep"), "root", *extra), same)
+
+    sizes = keep(_sizes(members), "sizes")
+    whole = members.join(sizes.where("parts = 1"), F.col("root") == F.col("r"))
+    tasks = placed(whole).select("root", F.lit(0).alias("i"), F.lit(0).alias("j"), "rep", F.lit(0).alias("home"), "tokens", "k1")
+    if not sizes.where("parts > 1").isEmpty():
+        large = keep(members.join(sizes.where("parts > 1"), F.col("root") == F.col("r")).select(*members.columns), "large")
+        for salt in ORDERS:  # a pair shares a prefix token under each order
+            entries = _entries(placed(large), salt)
+            parted = components(entries.where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b"))).withColumnRenamed("root", "new_root")
+            large = keep(large.join(parted, F.col("m1") == F.col("id")).select("m1", "m2", "size", "rep", F.col("new_root").alias("root")), "large")
+        sizes = keep(_sizes(large), "sizes")
+        entries = keep(_entries(placed(large.join(sizes.where("parts > 1"), F.col("root") == F.col("r"))), ORDERS[0]), "entries")
+        # a bucket of m sets holds m (m - 1) / 2 pairs; (m - 1) / 2 of them fall to each
+        bound = entries.groupBy(F.col("root").alias("p_root")).agg(F.sum((F.col("held") - 1) / 2).alias("pairs"))
+        costs = keep(sizes.join(bound, F.col("r") == F.col("p_root"), "left"), "costs")
+        by_pair = F.coalesce(F.col("pairs") <= F.col("held_sets") * F.col("parts"), F.lit(False)) & (F.col("parts") > 1)
+        dense = placed(large.join(costs.where(~by_pair), F.col("root") == F.col("r")), "parts")
+        home = F.pmod(F.xxhash64("rep", "k1"), F.col("parts").cast("long")).cast("int")
+        # a block meets itself and every other block of its cluster
+        dense = dense.withColumn("home", home).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dense = dense.select(
+            "root", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "rep", (F.col("home") > F.col("other")).cast("int").alias("home"), "tokens", "k1"
+        )
+        tasks = tasks.unionByName(dense)
+        sparse = costs.where(by_pair).select(F.col("r").alias("s_root"))
+        if not sparse.isEmpty():
+            some = entries.join(sparse, F.col("root") == F.col("s_root"))
+            other = some.select(F.col("root").alias("o_root"), F.col("token").alias("o_token"), F.col("cls").alias("b"))
+            pairs = some.join(other, (F.col("root") == F.col("o_root")) & (F.col("token") == F.col("o_token"))).where("cls < b").select(F.col("cls").alias("a"), "b").distinct()
+            pairs = keep(pairs, "pairs")
+            degree = pairs.groupBy(F.col("a").alias("hub")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("shares"))
+            far = pairs.join(degree, F.col("a") == F.col("hub")).select("hub", F.col("b").alias("cls"), F.pmod(F.xxhash64("b"), F.col("shares").cast("long")).cast("int").alias("j"), F.lit(1).alias("home"))
+            near = degree.select("hub", F.col("hub").alias("cls"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("j"), F.lit(0).alias("home"))
+            met = placed(large).join(far.unionByName(near), F.col("k1") == F.col("cls"))
+            tasks = tasks.unionByName(met.select(F.col("hub").alias("root"), F.lit(-1).alias("i"), "j", "rep", "home", "tokens", "k1"))
+    # the tasks of one cluster go round the partitions
+    turn = F.xxhash64("root") + F.col("i") * F.lit(31) + F.col("j")
+    n = wide(spark)
+    dealt = tasks.repartitionById(n, F.pmod(turn, F.lit(n)).cast("int"))
+    return dealt.sortWithinPartitions("root", "i", "j", "home", "rep", "k1").select("root", "i", "j", "rep", "home", "tokens", "k1")
+
+
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for each row of docs(doc_id, text).
 
@@ -327,35 +416,32 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("id"), text.alias("text"))
     prints = keep(rows.mapInArrow(_without_tokens, "doc_id long, id long, k1 long, k2 long, n_shingles long"), "sets")
     key = ["k1", "k2", "n_shingles"]
-    classes = prints.where("n_shingles > 0").groupBy(*key).agg(F.min("id").alias("rep"), F.min("doc_id").alias("least"))
+    classes = prints.where("n_shingles > 0").groupBy(*key).agg(F.min("id").alias("rep"), F.min("doc_id").alias("least"), F.count("*").alias("class_size"))
     may = clusters(rows)
-    members = classes.join(may, (F.col("k1").bitwiseAND(F.lit(-4))) == F.col("id")).select(*key, "rep", "root")
+    members = classes.join(may, (F.col("k1").bitwiseAND(F.lit(-4))) == F.col("id")).select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), F.col("n_shingles").alias("size"), "rep", "root")
     members = keep(members, "members")
-    sizes = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_TOKENS)).cast("int").alias("parts"))
-    sizes = sizes.withColumnRenamed("root", "r")
-    placed = members.join(sizes, F.col("root") == F.col("r")).select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), "rep", "root", "parts")
     # merged at every size: what may link grows with the corpus
-    sets = rows.select("id", "text").hint("merge").join(placed, F.col("id") == F.col("rep")).drop("id")
-    sets = sets.mapInArrow(_sets, "m1 long, m2 long, rep long, root long, parts int, k1 long, k2 long, n_shingles long, tokens binary")
-    sets = sets.where("m1 = k1 and m2 = k2")
-    home = F.pmod(F.xxhash64("rep", "k1"), F.col("parts").cast("long")).cast("int")
-    # a block meets itself and every other block of its cluster
-    sets = sets.withColumn("home", home).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    tasks = sets.select("root", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "rep", "home", "tokens", "k1")
-    tasks = tasks.repartition(wide(spark), "root", "i", "j").sortWithinPartitions("root", "i", "j", "rep", "k1")
+    asked = semi_filter(rows.select("id", "text"), members, "id", "rep").hint("merge").join(members, F.col("id") == F.col("rep")).drop("id", "size")
+    sets = asked.mapInArrow(_sets, "m1 long, m2 long, rep long, root long, k1 long, k2 long, n_shingles long, tokens binary")
+    sets = keep(sets.where("m1 = k1 and m2 = k2").select("rep", "k1", "k2", "n_shingles", "tokens"), "tokens")
+    members = members.select("m1", "m2", "size", "rep", "root")
+    tasks = _tasks(spark, members, sets)
     links = keep(tasks.mapInArrow(_verify, "a long, b long, links long"), "links")
+    drop(sets)
     joined = components(links.where("b is not null").select("a", "b")).withColumnRenamed("id", "node").withColumnRenamed("root", "link_root")
     n_links = links.where("b is null").groupBy(F.col("a").alias("linked")).agg(F.sum("links").alias("n_links"))
-    found = classes.join(joined, F.col("rep") == F.col("node"), "left").join(n_links, F.col("rep") == F.col("linked"), "left")
+    # rows of other classes are their own component
+    found = classes.join(joined, F.col("rep") == F.col("node"), "left").where("class_size > 1 or node is not null").join(n_links, F.col("rep") == F.col("linked"), "left")
     found = found.withColumn("group", F.coalesce("link_root", "rep"))
     # the smallest doc_id of a component, over classes: its root may stand for a row without one
     least = found.where("link_root is not null").groupBy("link_root").agg(F.min("least").alias("component")).withColumnRenamed("link_root", "g")
     found = found.join(least, F.col("group") == F.col("g"), "left")
-    found = found.select(*(F.col(c).alias(f"c_{c}") for c in key), F.when(F.col("g").isNotNull(), F.col("component")).otherwise(F.col("least")).alias("component"), "n_links")
-    out = prints.join(found, [F.col(c) == F.col(f"c_{c}") for c in key], "left")
+    component = F.when(F.col("g").isNotNull(), F.col("component")).otherwise(F.col("least"))
+    found = keep(found.select(*(F.col(c).alias(f"c_{c}") for c in key), component.alias("component"), "n_links", "class_size"), "found")
+    out = lookup(prints, found, [(c, f"c_{c}") for c in key], "class_size", prints.count(), "left")
     return out.select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("class_size").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import SPACE, documents, keep, text_of
+from tilewright.llm.common import SPACE, documents, keep, semi_filter, text_of
 from tilewright.llm.exact_dedup import exact_dedup
 from tilewright.llm.jaccard_join import jaccard_join
 from tilewright.llm.mixing import mix
@@ -34,13 +34,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
     found = keep(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "copies")
+    dropped = keep(found.where("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "dropped")
+    # only rows whose id may be a dropped one's are looked up by their text
+    sure, unsure = (semi_filter(docs, dropped, "doc_id", "gone_id", how) for how in ("left_anti", "left_semi"))
     kept = found.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
     body = F.regexp_replace(text_of(), f"[{SPACE}]+", " ")
-    rows = docs.withColumn("_sha_", F.sha2(body.cast("binary"), 256))
+    rows = unsure.withColumn("_sha_", F.sha2(body.cast("binary"), 256))
     rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["_sha_"] == kept["kept_sha"]), "left_semi")
     if not found.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
         rows = rows.dropDuplicates(["doc_id", "_sha_"])  # repeated rows
-    return rows.drop("_sha_")
+    return sure.unionByName(rows.drop("_sha_"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +52,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without a doc_id stay if they are linked with none that has one; of rows with one
     doc_id all stay if one does.
     """
-    firsts = jaccard_join(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    return docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["first_id"]), "left_semi")
+    found = keep(jaccard_join(docs).select("doc_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("first")).distinct(), "near")
+    others = found.where("not first").select(F.col("doc_id").alias("gone_id"))
+    firsts = found.where("first").select(F.col("doc_id").alias("first_id"))
+    sure, unsure = (semi_filter(docs, others, "doc_id", "gone_id", how) for how in ("left_anti", "left_semi"))
+    return sure.unionByName(unsure.join(firsts, unsure["doc_id"].eqNullSafe(firsts["first_id"]), "left_semi"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

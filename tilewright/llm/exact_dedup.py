@@ -32,7 +32,7 @@ CHUNK = 1024
 #: Bytes of a chunk in the comparison of texts.
 COMPARE = 1 << 16
 #: Members of a group that share one copy of the text they are compared with.
-SHARE = 1000
+SHARE = 100
 
 
 def powers(exponents: np.ndarray) -> np.ndarray:

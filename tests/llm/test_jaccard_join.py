@@ -4,6 +4,7 @@ import re
 import pytest
 
 from tests.llm.conftest import prose
+from tilewright.llm import components as K
 from tilewright.llm import jaccard_join as J
 
 
@@ -66,9 +67,10 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize(("block", "common"), [(1000, 64), (7, 3)])
-def test_links(spark, corpus, monkeypatch, block, common):
-    """With small blocks clusters are parted, with a small bound many tokens are common."""
+@pytest.mark.parametrize(("block", "common", "small"), [(1000, 64, 1 << 20), (7, 3, 0)])
+def test_links(spark, corpus, monkeypatch, block, common, small):
+    """With small blocks clusters are parted, with a small bound many tokens are common; components by one task and by many."""
+    monkeypatch.setattr(K, "SMALL", small)
     monkeypatch.setattr(J, "BLOCK", block)
     monkeypatch.setattr(J, "COMMON", common)
     assert found(spark.createDataFrame(corpus, "doc_id long, text string").repartition(3)) == brute(corpus)
@@ -138,3 +140,23 @@ def test_hot_classes(spark, odd, monkeypatch):
 
     monkeypatch.setattr(common, "HOT_ROWS", 2)
     assert found(odd) == brute([(r.doc_id, r.text) for r in odd.collect()])
+
+
+def test_components(spark, monkeypatch):
+    r = random.Random(2)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(1000, i) for i in range(1001, 1400)] + [(5, None), (None, 7)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a is not None and b is not None and a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    expected = sorted((x, find(x)) for x in root)
+    for small in (1 << 20, 0):
+        monkeypatch.setattr(K, "SMALL", small)
+        assert sorted(map(tuple, K.components(spark.createDataFrame(links, "a long, b long").repartition(3)).collect())) == expected

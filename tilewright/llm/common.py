@@ -220,10 +220,10 @@ def lookup(rows: DataFrame, groups: DataFrame, on: list[tuple[str, str]], n: str
     """
     least = max(total // HOT_SHARE, HOT_ROWS)
     same = [F.col(a) == F.col(b) for a, b in on]
-    hot = groups.where(F.col(n) >= least)
-    if hot.isEmpty():
+    found = groups.where(F.col(n) >= least).collect() if total >= HOT_ROWS else []  # HOT_SHARE rows at most
+    if not found:
         return rows.join(groups, same, how)
-    hot = F.broadcast(hot)
+    hot = F.broadcast(rows.sparkSession.createDataFrame(found, groups.schema))
     near = rows.join(hot, same)
     far = rows.join(hot, same, "left_anti").join(groups.where(F.col(n) < least), same, how)
     return near.unionByName(far)

@@ -325,81 +325,83 @@ def _without_tokens(batches):
         yield batch.select(["doc_id", "id", "k1", "k2", "n_shingles"])
 
 
-def _prefix_entries(salt: int):
-    """(root, cls, token) of the prefixes under an order."""
-
-    def run(batches):
-        for batch in batches:
-            root, cls = (batch.column(i).to_numpy() for i in range(2))
-            found = [ordered_prefix(np.frombuffer(t, np.uint64), salt) for t in batch.column(2).to_pylist()]
+def _prefix_entries(batches):
+    """(root, cls, nth, token) of the prefixes under the nth order."""
+    for batch in batches:
+        root, cls = (batch.column(i).to_numpy() for i in range(2))
+        sets = [np.frombuffer(t, np.uint64) for t in batch.column(2).to_pylist()]
+        for nth, salt in enumerate(ORDERS):
+            found = [ordered_prefix(s, salt) for s in sets]
             size = np.fromiter(map(len, found), np.int64, len(found))
             token = np.concatenate(found) if found else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(root, size)), pa.array(np.repeat(cls, size)), pa.array(token.view(np.int64))], names=["root", "cls", "token"])
-
-    return run
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(root, size)), pa.array(np.repeat(cls, size)), pa.array(np.full(len(token), nth, np.int32)), pa.array(token.view(np.int64))],
+                names=["root", "cls", "nth", "token"],
+            )
 
 
-def _entries(placed: DataFrame, salt: int) -> DataFrame:
-    """The entries of the prefixes under an order that several sets of a cluster share, with the bucket's least class and size."""
-    entries = placed.select("root", "k1", "tokens").mapInArrow(_prefix_entries(salt), "root long, cls long, token long").distinct()
+def _shared(entries: DataFrame) -> DataFrame:
+    """The entries(root, cls, token) of tokens that several classes of a cluster share, with the bucket's least class and size."""
     buckets = entries.groupBy(F.col("root").alias("b_root"), F.col("token").alias("b_token")).agg(F.min("cls").alias("least"), F.count("*").alias("held")).where("held > 1")
-    return entries.join(buckets, (F.col("root") == F.col("b_root")) & (F.col("token") == F.col("b_token"))).drop("b_root", "b_token")
+    return lookup(entries, buckets, [("root", "b_root"), ("token", "b_token")], "held", entries.count()).drop("b_root", "b_token")
 
 
 def _sizes(members: DataFrame) -> DataFrame:
-    """(r, held_sets, parts) of each cluster: the number of its sets and of the blocks that hold them."""
+    """(r, held_sets, parts) of each cluster of members(root, size): the number of its sets and of the blocks that hold them."""
     n = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_TOKENS)).cast("int")
     return members.groupBy(F.col("root").alias("r")).agg(F.count("*").alias("held_sets"), n.alias("parts"))
 
 
-def _tasks(spark, members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(root, i, j, rep, home, tokens): the sets of each task of verification, sorted by task.
-
-    members(m1, m2, size, rep, root) are the classes, sets(rep, k1, k2, n_shingles, tokens) their
-    sets, a row for each repeated row of a document.
-    """
-    same = (F.col("rep") == F.col("p_rep")) & (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2"))
-
-    def placed(some: DataFrame, *extra: str) -> DataFrame:
-        return sets.join(some.select("m1", "m2", F.col("rep").alias("p_rep"), "root", *extra), same)
-
-    sizes = keep(_sizes(members), "sizes")
-    whole = members.join(sizes.where("parts = 1"), F.col("root") == F.col("r"))
-    tasks = placed(whole).select("root", F.lit(0).alias("i"), F.lit(0).alias("j"), "rep", F.lit(0).alias("home"), "tokens", "k1")
-    if not sizes.where("parts > 1").isEmpty():
-        large = keep(members.join(sizes.where("parts > 1"), F.col("root") == F.col("r")).select(*members.columns), "large")
-        for salt in ORDERS:  # a pair shares a prefix token under each order
-            entries = _entries(placed(large), salt)
-            parted = components(entries.where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b"))).withColumnRenamed("root", "new_root")
-            large = keep(large.join(parted, F.col("m1") == F.col("id")).select("m1", "m2", "size", "rep", F.col("new_root").alias("root")), "large")
-        sizes = keep(_sizes(large), "sizes")
-        entries = keep(_entries(placed(large.join(sizes.where("parts > 1"), F.col("root") == F.col("r"))), ORDERS[0]), "entries")
-        # a bucket of m sets holds m (m - 1) / 2 pairs; (m - 1) / 2 of them fall to each
-        bound = entries.groupBy(F.col("root").alias("p_root")).agg(F.sum((F.col("held") - 1) / 2).alias("pairs"))
-        costs = keep(sizes.join(bound, F.col("r") == F.col("p_root"), "left"), "costs")
-        by_pair = F.coalesce(F.col("pairs") <= F.col("held_sets") * F.col("parts"), F.lit(False)) & (F.col("parts") > 1)
-        dense = placed(large.join(costs.where(~by_pair), F.col("root") == F.col("r")), "parts")
-        home = F.pmod(F.xxhash64("rep", "k1"), F.col("parts").cast("long")).cast("int")
-        # a block meets itself and every other block of its cluster
-        dense = dense.withColumn("home", home).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dense = dense.select(
-            "root", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "rep", (F.col("home") > F.col("other")).cast("int").alias("home"), "tokens", "k1"
-        )
-        tasks = tasks.unionByName(dense)
-        sparse = costs.where(by_pair).select(F.col("r").alias("s_root"))
-        if not sparse.isEmpty():
-            some = entries.join(sparse, F.col("root") == F.col("s_root"))
-            other = some.select(F.col("root").alias("o_root"), F.col("token").alias("o_token"), F.col("cls").alias("b"))
-            pairs = some.join(other, (F.col("root") == F.col("o_root")) & (F.col("token") == F.col("o_token"))).where("cls < b").select(F.col("cls").alias("a"), "b").distinct()
-            pairs = keep(pairs, "pairs")
-            degree = pairs.groupBy(F.col("a").alias("hub")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("shares"))
-            far = pairs.join(degree, F.col("a") == F.col("hub")).select("hub", F.col("b").alias("cls"), F.pmod(F.xxhash64("b"), F.col("shares").cast("long")).cast("int").alias("j"), F.lit(1).alias("home"))
-            near = degree.select("hub", F.col("hub").alias("cls"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("j"), F.lit(0).alias("home"))
-            met = placed(large).join(far.unionByName(near), F.col("k1") == F.col("cls"))
-            tasks = tasks.unionByName(met.select(F.col("hub").alias("root"), F.lit(-1).alias("i"), "j", "rep", "home", "tokens", "k1"))
+def _large_tasks(large: DataFrame) -> DataFrame:
+    """(root, i, j, rep, home, tokens, k1) for the sets(root, rep, k1, n_shingles, tokens) of clusters above a block."""
+    entries = keep(large.select("root", "k1", "tokens").mapInArrow(_prefix_entries, "root long, cls long, nth int, token long"), "entries")
+    label = None
+    for nth in range(len(ORDERS)):  # a pair shares a prefix token under each order
+        own = entries.where(F.col("nth") == nth).drop("nth")
+        if label is not None:
+            own = own.drop("root").join(label, F.col("cls") == F.col("l_cls")).select("root", "cls", "token")
+        edges = _shared(own).where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b"))
+        label = keep(components(edges).select(F.col("id").alias("l_cls"), "root"), "label")
+    classes = large.select(F.col("k1").alias("cls"), F.col("n_shingles").alias("size")).distinct()
+    sizes = _sizes(classes.join(label, F.col("cls") == F.col("l_cls")))
+    held = label.join(sizes, F.col("root") == F.col("r")).select("l_cls", "root", "held_sets", "parts")
+    own = entries.where("nth = 0").select("cls", "token").join(held.where("parts > 1"), F.col("cls") == F.col("l_cls")).select("root", "cls", "token")
+    shared = keep(_shared(own), "shared")
+    # a bucket of m sets holds m (m - 1) / 2 pairs; (m - 1) / 2 of them fall to each
+    bound = shared.groupBy(F.col("root").alias("p_root")).agg(F.sum((F.col("held") - 1) / 2).alias("pairs"))
+    by_pair = F.coalesce(F.col("pairs") <= F.col("held_sets") * F.col("parts"), F.lit(False)) & (F.col("parts") > 1)
+    held = keep(held.join(bound, F.col("root") == F.col("p_root"), "left").select("l_cls", F.col("root").alias("l_root"), "parts", by_pair.alias("by_pair")), "held")
+    sets = large.select("rep", "k1", "tokens")
+    home = F.pmod(F.xxhash64("rep", "k1"), F.col("parts").cast("long")).cast("int")
+    # a block meets itself and every other block of its cluster
+    dense = sets.join(held.where("not by_pair"), F.col("k1") == F.col("l_cls")).withColumn("home", home)
+    dense = dense.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tasks = dense.select(
+        F.col("l_root").alias("root"), F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"), "rep", (F.col("home") > F.col("other")).cast("int").alias("home"), "tokens", "k1"
+    )
+    sparse = held.where("by_pair")
+    if sparse.isEmpty():
+        return tasks
+    some = shared.join(sparse.select("l_cls"), F.col("cls") == F.col("l_cls")).select("root", "token", "cls")
+    other = some.select(F.col("root").alias("o_root"), F.col("token").alias("o_token"), F.col("cls").alias("b"))
+    pairs = some.join(other, (F.col("root") == F.col("o_root")) & (F.col("token") == F.col("o_token"))).where("cls < b").select(F.col("cls").alias("a"), "b").distinct()
+    pairs = keep(pairs, "pairs")
+    degree = pairs.groupBy(F.col("a").alias("hub")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("shares"))
+    far = pairs.join(degree, F.col("a") == F.col("hub")).select("hub", F.col("b").alias("cls"), F.pmod(F.xxhash64("b"), F.col("shares").cast("long")).cast("int").alias("j"), F.lit(1).alias("home"))
+    near = degree.select("hub", F.col("hub").alias("cls"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("j"), F.lit(0).alias("home"))
+    met = sets.join(far.unionByName(near), F.col("k1") == F.col("cls"))
+    return tasks.unionByName(met.select(F.col("hub").alias("root"), F.lit(-1).alias("i"), "j", "rep", "home", "tokens", "k1"))
+
+
+def _tasks(sets: DataFrame) -> DataFrame:
+    """(root, i, j, rep, home, tokens): the sets(root, parts, rep, k1, n_shingles, tokens) of each task of verification, sorted by task."""
+    tasks = sets.where("parts = 1").select("root", F.lit(0).alias("i"), F.lit(0).alias("j"), "rep", F.lit(0).alias("home"), "tokens", "k1")
+    large = sets.where("parts > 1")
+    if not large.isEmpty():
+        tasks = tasks.unionByName(_large_tasks(large))
     # the tasks of one cluster go round the partitions
+    n = wide(sets.sparkSession)
     turn = F.xxhash64("root") + F.col("i") * F.lit(31) + F.col("j")
-    n = wide(spark)
     dealt = tasks.repartitionById(n, F.pmod(turn, F.lit(n)).cast("int"))
     return dealt.sortWithinPartitions("root", "i", "j", "home", "rep", "k1").select("root", "i", "j", "rep", "home", "tokens", "k1")
 
@@ -420,12 +422,12 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     may = clusters(rows)
     members = classes.join(may, (F.col("k1").bitwiseAND(F.lit(-4))) == F.col("id")).select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), F.col("n_shingles").alias("size"), "rep", "root")
     members = keep(members, "members")
+    members = keep(members.join(_sizes(members), F.col("root") == F.col("r")).select("m1", "m2", "rep", "root", "parts"), "placed")
     # merged at every size: what may link grows with the corpus
-    asked = semi_filter(rows.select("id", "text"), members, "id", "rep").hint("merge").join(members, F.col("id") == F.col("rep")).drop("id", "size")
-    sets = asked.mapInArrow(_sets, "m1 long, m2 long, rep long, root long, k1 long, k2 long, n_shingles long, tokens binary")
-    sets = keep(sets.where("m1 = k1 and m2 = k2").select("rep", "k1", "k2", "n_shingles", "tokens"), "tokens")
-    members = members.select("m1", "m2", "size", "rep", "root")
-    tasks = _tasks(spark, members, sets)
+    asked = semi_filter(rows.select("id", "text"), members, "id", "rep").hint("merge").join(members, F.col("id") == F.col("rep")).drop("id")
+    sets = asked.mapInArrow(_sets, "m1 long, m2 long, rep long, root long, parts int, k1 long, k2 long, n_shingles long, tokens binary")
+    sets = keep(sets.where("m1 = k1 and m2 = k2").select("root", "parts", "rep", "k1", "n_shingles", "tokens"), "tokens")
+    tasks = _tasks(sets)
     links = keep(tasks.mapInArrow(_verify, "a long, b long, links long"), "links")
     drop(sets)
     joined = components(links.where("b is not null").select("a", "b")).withColumnRenamed("id", "node").withColumnRenamed("root", "link_root")

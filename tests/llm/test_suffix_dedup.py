@@ -82,8 +82,42 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize(("shard", "common"), [(24, 64), (2, 3)])
-def test_passages(spark, corpus, monkeypatch, shard, common):
+@pytest.mark.parametrize(("shard", "common", "hot"), [(1 << 13, 64, 1024), (200, 3, 3), (1 << 13, 1 << 30, 2)])
+def test_passages(spark, corpus, monkeypatch, shard, common, hot):
+    """Small bounds part shards by longer cores and hot anchors by their places."""
     monkeypatch.setattr(D, "SHARD", shard)
     monkeypatch.setattr(D, "COMMON", common)
+    monkeypatch.setattr(D, "HOT", hot)
     assert found(spark.createDataFrame(corpus, "doc_id long, text string").repartition(3)) == brute(corpus)
+
+
+def segments_of(texts):
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    place, _, start, last = D.anchors(data, at)
+    doc = np.searchsorted(at, place, side="right") - 1
+    stop = last + D.LENGTH
+    cut = [data[a:b].tobytes() for a, b in zip(start, stop, strict=True)]
+    return np.frombuffer(b"".join(cut), np.uint8), np.concatenate([[0], np.cumsum([len(c) for c in cut])]), place - start, doc
+
+
+@pytest.mark.parametrize("shard", [100, 1 << 13])
+def test_arrays_settle_every_shared_string(corpus, monkeypatch, shard):
+    monkeypatch.setattr(D, "SHARD", shard)
+    data, at, lead, ids = segments_of([t.encode() for _, t in corpus])
+    told = {}
+    least, offset = D.shared_strings(data, at, lead, ids, told)
+    strings = [(s, data[at[s] + k : at[s] + k + 50].tobytes()) for s in range(len(ids)) for k in range(max(0, at[s + 1] - at[s] - 49))]
+    times, first = {}, {}
+    for s, x in strings:
+        times[x] = times.get(x, 0) + 1
+        first[x] = min(first.get(x, 1 << 60), int(ids[s]))
+    assert least.tolist() == [first[x] for _, x in strings] and offset[-1] == len(strings)
+    assert told == {"alone": sum(times[x] == 1 for _, x in strings), "arrays": sum(times[x] > 1 for _, x in strings)}
+
+
+def test_hot_texts(spark, odd, monkeypatch):
+    from tilewright.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    assert found(odd) == brute([(r.doc_id, r.text) for r in odd.collect()])

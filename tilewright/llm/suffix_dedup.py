@@ -2,21 +2,25 @@
 
 Texts are UTF-8 bytes; a byte goes if a 50-byte string that covers it also starts in a
 document with a smaller doc_id. Shards must hold all occurrences of such a string, so they
-are made by content: the least hash among a string's 35 16-byte grams is its anchor, the same
-wherever the string occurs. Equal texts are one class, of which only the first row is searched.
+are made by content: the gram of least hash among a string's 19 32-byte grams is its anchor,
+the same wherever the string occurs. Equal texts are one class, of which only the first row is searched.
 
 1. Anchors. Each class sends its anchors' hashes to their parts, which tell the class those
-   that occur in several classes.
-2. Segments. Around each such anchor the bytes of all strings that it can be the anchor of
-   are a segment. Equal segments of a task are sent once, with the least doc_id.
-3. Shards. Segments meet by a core that their strings share. Where they aren't alike they form
-   a shard (large sets part by longer cores, down to single strings). Its suffix array by induced sorting and the
-   permuted common prefixes give each string its least doc_id.
+   that occur in several classes, and which of them are hot.
+2. Segments. Around each such anchor the bytes of all strings that it is the anchor of
+   are a segment. Equal segments of a task are sent once, with the least doc_id. A hot anchor's
+   strings are parted by the place of the anchor in them and by the longer core that they then
+   share, so that one anchor in many surroundings goes to many tasks.
+3. Shards. Strings whose hash occurs once among a task's segments occur once, and drop out;
+   the runs of the others, equal ones drawn together by comparing their bytes, are the shard of
+   their anchor (shards above a bound of symbols part by longer cores). The suffix array of
+   each shard by induced sorting and the permuted common prefixes tell every string that
+   several runs share, and so its least doc_id.
 4. Every occurrence looks up its segment; a class collects the strings to remove.
 
-Anchor hashes only choose what to compare, so their collisions cost work, not results; a
-class is told by 40 bits in step 1, where a collision (odds of 2**-40 for a pair) could hide
-that an anchor is shared.
+Anchor hashes only choose what to compare, so their collisions cost work, not results. A class
+is told by 40 bits in step 1, where a collision (odds of 2**-40 for a pair) could hide that an
+anchor is shared; segments are told by 128 bits, of which 64 are those of their anchor.
 
 Edge cases: null text counts as empty; texts under 50 bytes stay as they are; rows with one
 doc_id don't remove from each other; a null doc_id counts as the largest; an empty table
@@ -34,16 +38,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.blobs import blob_batch, by_kind, dealt, gathered
-from tilewright.llm.common import blocks, drop, keep, mix64, ranges, small_batches, text_of, utf8, wide
+from tilewright.llm.common import blocks, drop, keep, lookup, mix64, ranges, semi_filter, small_batches, text_of, utf8, wide
 from tilewright.llm.shingles import _BYTE, _PLACE
 from tilewright.llm.suffix_arrays import common_prefixes, suffix_arrays
 
 LENGTH, GRAM = 50, 32
 REACH = LENGTH - GRAM  # an anchor lies at most this far into its string
 COMMON = 64
-#: Unlike segments that a shard takes before it is parted, and symbols of the shards that are sorted side by side.
-SHARD, SYMBOLS = 24, 1 << 19
+#: Classes in which a hot anchor occurs, and the ranges of its places by which its strings part.
+HOT, RANGES = 1024, ((0, 4), (5, 9), (10, 14), (15, 18))
+#: Symbols of a shard before it is parted, and of the shards that are sorted side by side.
+SHARD, SYMBOLS = 1 << 13, 1 << 20
 NO_ID = (1 << 63) - 1  # the id of a row without doc_id
+#: Marks a hot gram in the number of its part.
+HOT_FLAG = np.uint32(1 << 31)
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -56,11 +64,15 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (in data) and hashes of the anchors of all strings of LENGTH bytes."""
+def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places (in data) and hashes of the anchors of all strings of LENGTH bytes, and the first and last string of each.
+
+    A string's anchor is its gram of least hash, the leftmost of equal ones, so that every
+    string has one and the strings of one anchor follow each other.
+    """
     n = len(data)
     if n < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     raw = np.append(data, np.zeros(GRAM, np.uint8)).astype(np.uint64)
     two = raw[:-1] | raw[1:] << np.uint64(8)
     four = two[:-2] | two[2:] << np.uint64(16)
@@ -68,13 +80,15 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sixteen = eight[:-8] * np.uint64(0x9E3779B97F4A7C15) + eight[8:] * np.uint64(0xD1B54A32D192ED03)
     sixteen ^= sixteen >> np.uint64(31)
     hashes = mix64(sixteen[: n - GRAM + 1] * np.uint64(0x8CB92BA72F3D8DD7) + sixteen[16 : n - GRAM + 17] * np.uint64(0xC2B2AE3D27D4EB4F))
-    high = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    least = _slide(high, REACH + 1, np.minimum)  # of the string at each position
+    high = hashes & ~np.uint64(0xFFFFFFFF) | np.arange(len(hashes), dtype=np.uint64)
+    place = (_slide(high, REACH + 1, np.minimum) & np.uint64(0xFFFFFFFF)).astype(np.int64)  # of the string at each position
     across = (at[1:, None] - np.arange(1, LENGTH)).ravel()  # these would go on in the next text
-    least[across[(across >= 0) & (across < len(least))]] = 0
-    padded = np.concatenate([np.zeros(REACH, np.uint32), least, np.zeros(REACH, np.uint32)])
-    found = np.flatnonzero(_slide(padded, REACH + 1, np.maximum)[: len(high)] == high)
-    return found, hashes[found]
+    place[across[(across >= 0) & (across < len(place))]] = -1
+    turn = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    last = np.append(turn[1:], len(place)) - 1
+    real = place[turn] >= 0
+    found = place[turn[real]]
+    return found, hashes[found], turn[real], last[real]
 
 
 def _parts_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -86,13 +100,13 @@ def _low(hashes: np.ndarray) -> np.ndarray:
 
 
 def _send(parts: int):
-    """Kind 0: (gram, class) to the gram's part. Kind 3: grams that are common in this block. Kind 2: (class, part, gram) of those, to the class's part."""
+    """Kind 0: (gram, class) to the gram's part. Kind 3: grams that are common in this block, which counts as hot. Kind 2: (class, part, gram) of those, to the class's part."""
 
     def run(batches):
         for batch in batches:
             for part in blocks(batch, "text"):
                 data, at = utf8(part.column(1))
-                place, hashes = anchors(data, at)
+                place, hashes, _, _ = anchors(data, at)
                 doc = np.searchsorted(at, place, side="right") - 1
                 classes = part.column(0).to_numpy().astype(np.uint64) & np.uint64((1 << 40) - 1)
                 of = classes[doc]
@@ -108,7 +122,7 @@ def _send(parts: int):
                 rows = [(3, p, b) for p, b in dealt(_parts_of(seen, parts), _low(seen))]
                 common = np.repeat(common, count)
                 told, home = hashes[common], (of[common] % np.uint64(parts)).astype(np.int64)
-                rows += [(2, p, b) for p, b in dealt(home, of[common], _parts_of(told, parts).astype(np.uint32), _low(told))]
+                rows += [(2, p, b) for p, b in dealt(home, of[common], _parts_of(told, parts).astype(np.uint32) | HOT_FLAG, _low(told))]
                 hashes, of = hashes[~common], of[~common]
                 rows += [(0, p, b) for p, b in dealt(_parts_of(hashes, parts), _low(hashes), of.astype(np.uint32), (of >> np.uint64(32)).astype(np.uint8))]
                 yield blob_batch(rows)
@@ -117,7 +131,7 @@ def _send(parts: int):
 
 
 def _share(parts: int):
-    """Kind 2: (class, part, gram) of the grams of several classes, to the class's part; those that came as such pass. Common grams of any block are shared."""
+    """Kind 2: (class, part, gram) of the grams of several classes, to the class's part; those that came as such pass. Common grams of any block are shared. A hot gram's part has HOT_FLAG, whatever the way it came."""
 
     def run(batches):
         found: dict[tuple[int, int], list[bytes]] = {}
@@ -137,9 +151,11 @@ def _share(parts: int):
             gram, of = gram[new], of[new]
             start = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, np.int64)
             count = np.diff(np.append(start, len(gram)))
-            shared = np.repeat((count > 1) | np.isin(gram[start], seen), count)
+            hot = (count >= HOT) | np.isin(gram[start], seen)
+            shared, hot = np.repeat((count > 1) | hot, count), np.repeat(hot, count)
             gram, of = gram[shared], of[shared]
-            rows = [(2, p, b) for p, b in dealt((of % np.uint64(parts)).astype(np.int64), of, np.full(len(of), pid, np.uint32), gram)]
+            part = np.where(hot[shared], np.uint32(pid) | HOT_FLAG, np.uint32(pid))
+            rows = [(2, p, b) for p, b in dealt((of % np.uint64(parts)).astype(np.int64), of, part, gram)]
             if rows:
                 yield blob_batch(rows)
 
@@ -162,8 +178,25 @@ def _told(batches):
         )
 
 
+def _hashed(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64 bits of the bytes of each stretch of data."""
+    step = ranges(size)
+    begin = np.cumsum(size) - size
+    return np.add.reduceat(_BYTE[data[np.repeat(start, size) + step]] * _PLACE[step], begin) if len(size) else np.zeros(0, np.uint64)
+
+
+def _parted(data: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """(anchor, nth, first, last string) of the segments of hot anchors, one for each range of their places in a string: nth counts the anchors."""
+    for a, b in RANGES:
+        start, stop = np.maximum(place - b, first), np.minimum(place - a, last)
+        some = np.flatnonzero(start <= stop)
+        size = np.full(len(some), LENGTH - b + a)
+        core = _hashed(data, place[some] - a, size)
+        yield mix64(core + np.uint64(a + 1) * np.uint64(0x9FB21C651E98DF25)), some, start[some], stop[some]
+
+
 def _segments(parts: int):
-    """Kind 0: a block's unlike segments (anchor, its place, segment, least id, number). Kind 1: the occurrences (segment's hash, id, class, start)."""
+    """Kind 0: a block's unlike segments (anchor, its place, segment, least id, number). Kind 1: the occurrences (anchor, segment's hash, id, class, start)."""
     names = ["kind", "anchor", "lead", "segment", "id", "n", "code", "cls", "start"]
 
     def run(batches):
@@ -171,30 +204,38 @@ def _segments(parts: int):
             for part in blocks(batch, "text"):
                 ids, classes, texts, grams = (part.column(part.schema.get_field_index(c)) for c in ("id", "cls", "text", "grams"))
                 data, at = utf8(texts)
-                place, hashes = anchors(data, at)
+                place, hashes, first, last = anchors(data, at)
                 doc = np.searchsorted(at, place, side="right") - 1
                 code = _parts_of(hashes, parts).astype(np.uint64) << np.uint64(32) | _low(hashes)
                 # a text's anchors that its class has been told of
                 raw, gram_at = utf8(grams)
+                flag = np.uint64(HOT_FLAG) << np.uint64(32)
                 known = raw.view(np.uint64)
                 owner = np.repeat(np.arange(len(at) - 1), np.diff(gram_at) // 8)
-                pairs = mix64(known + mix64(owner.astype(np.uint64)))
-                shared = np.isin(mix64(code + mix64(doc.astype(np.uint64))), pairs)
-                place, hashes, doc = place[shared], hashes[shared], doc[shared]
-                if not len(place):
+                pairs = mix64((known & ~flag) + mix64(owner.astype(np.uint64)))
+                mine = mix64(code + mix64(doc.astype(np.uint64)))
+                shared = np.isin(mine, pairs)
+                hot = np.isin(mine, pairs[(known & flag) != 0])
+                cold = np.flatnonzero(shared & ~hot)
+                found = [(hashes[cold], cold, first[cold], last[cold])]
+                hot = np.flatnonzero(shared & hot)
+                if len(hot):
+                    found += [(key, hot[nth], start, stop) for key, nth, start, stop in _parted(data, place[hot], first[hot], last[hot])]
+                anchor, nth, start, stop = (np.concatenate([f[i] for f in found]) for i in range(4))
+                if not len(anchor):
                     continue
-                start = np.maximum(place - REACH, at[:-1][doc])
-                size = np.minimum(place + LENGTH, at[1:][doc]) - start
+                place, doc = place[nth], doc[nth]
+                size = stop + LENGTH - start
                 step = ranges(size)
                 body = data[np.repeat(start, size) + step]
                 begin = np.cumsum(size) - size
                 lead = place - start
-                code = np.add.reduceat(_BYTE[body] * _PLACE[step], begin) + (lead * 256 + size).astype(np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)
-                code = mix64(code).view(np.int64)
+                code = mix64(_hashed(body, begin, size) + (lead * 256 + size).astype(np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)).view(np.int64)
+                anchor = anchor.view(np.int64)
                 id_of, class_of = ids.to_numpy()[doc], classes.to_numpy()[doc]
-                _, first, inverse, number = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-                least = np.full(len(first), NO_ID)
-                np.minimum.at(least, inverse, id_of)
+                order = np.lexsort((code, anchor))
+                heads = np.flatnonzero(np.append(True, (code[order][1:] != code[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])))
+                first, least, number = np.minimum.reduceat(order, heads), np.minimum.reduceat(id_of[order], heads), np.diff(np.append(heads, len(order)))
                 # in the order of the text, neighbours overlap and so compress well
                 order = np.argsort(first)
                 first, least, number = first[order], least[order], number[order]
@@ -204,7 +245,7 @@ def _segments(parts: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.zeros(m, np.int32)),
-                        pa.array(hashes.view(np.int64)[first]),
+                        pa.array(anchor[first]),
                         pa.array(lead[first].astype(np.int32)),
                         segment,
                         pa.array(least),
@@ -219,7 +260,7 @@ def _segments(parts: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.ones(m, np.int32)),
-                        none(m, pa.int64()),
+                        pa.array(anchor),
                         none(m, pa.int32()),
                         none(m, pa.binary()),
                         pa.array(id_of),
@@ -319,107 +360,100 @@ class Strings:
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
-def levels() -> list[list[tuple[int, int]]]:
-    """Halves, quarters, ... and single values of the places of an anchor in its string."""
-    out, now = [], [(0, REACH)]
-    while any(a < b for a, b in now):
-        now = [r for a, b in now for r in (((a, (a + b) // 2), ((a + b) // 2 + 1, b)) if a < b else ((a, b),))]
-        out.append(now)
-    return out
+def _alike(text: Strings, key: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the stretches of text by their key, and the number of each in this order among those that differ in key or bytes."""
+    code = text.hashes(begin, begin + size)
+    order = np.lexsort((size, code, key))
+    begin, size, code, key = begin[order], size[order], code[order], key[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (key[1:] != key[:-1]) | (code[1:] != code[:-1]) | (size[1:] != size[:-1])
+    head = np.flatnonzero(new)[np.cumsum(new) - 1]
+    new |= ~text.equal(begin, begin[head], size)  # unlike bytes with one hash stay apart
+    return order, np.cumsum(new) - 1
 
 
-def shared_strings(data: np.ndarray, at: np.ndarray, lead: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shared_strings(data: np.ndarray, at: np.ndarray, lead: np.ndarray, ids: np.ndarray, told: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The least id for each string of LENGTH bytes of the segments, one after another, and the segments' n + 1 offsets.
 
-    Segments meet by a core that their strings share: the strings whose anchor lies a..b bytes
-    in all hold the bytes from a before the anchor to LENGTH - b after it. Groups whose strings
-    are alike are settled at once; small other groups become the shards of suffix arrays; large
-    ones part again, by half the range and so by a longer core, down to single strings.
+    A string whose hash occurs once is its own; runs of the others are drawn together where their
+    bytes are equal and make up the shards of suffix arrays, which settle all of them. A shard holds
+    the runs around one core that their strings share: the strings whose anchor lies a..b bytes in
+    all hold the bytes from a before the anchor to LENGTH - b after it. That is the anchor itself
+    at first; a shard above the bound parts by half the range and so by a longer core, down to
+    single strings. told gets the number of strings of either kind.
     """
     size = np.diff(at)
-    offset = np.concatenate([[0], np.cumsum(np.maximum(size - LENGTH + 1, 0))])
-    least = np.repeat(ids, np.diff(offset))
+    count = np.maximum(size - LENGTH + 1, 0)
+    offset = np.concatenate([[0], np.cumsum(count)])
+    least = np.repeat(ids, count)
     text = Strings(data)
     anchor = at[:-1] + lead
-    open_ = {(0, REACH): np.arange(len(lead))}
-    strings: list[bytes] = []
-    owners: list[int] = []
-    begins: list[int] = []
-    shard: list[int] = []
-
-    def lower(members: np.ndarray, first: np.ndarray, count: np.ndarray, value: np.ndarray) -> None:
-        np.minimum.at(least, np.repeat(offset[members] + first, count) + ranges(count), np.repeat(value, count))
-
-    def solve() -> None:
-        if strings:
-            found = least_ids(strings, ids[owners], np.array(shard))
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            values = np.concatenate(found)
-            np.minimum.at(least, np.repeat(offset[owners] + np.array(begins), counts) + ranges(counts), values)
-        for x in (strings, owners, begins, shard):
-            x.clear()
-
+    of = np.repeat(np.arange(len(size)), count)
+    start = at[:-1][of] + ranges(count)
+    _, nth, times = np.unique(text.hashes(start, start + LENGTH), return_inverse=True, return_counts=True)
+    some = np.flatnonzero(times[nth] > 1)
+    if told is not None:
+        told["alone"] = told.get("alone", 0) + len(of) - len(some)
+        told["arrays"] = told.get("arrays", 0) + len(some)
+    if not len(some):
+        return least, offset
+    fresh = np.flatnonzero(np.append(True, (some[1:] != some[:-1] + 1) | (of[some[1:]] != of[some[:-1]])))
+    # runs: their segment, the place of their first string, the number of their strings
+    now = {(0, REACH): (of[some[fresh]], start[some[fresh]], np.diff(np.append(fresh, len(some))))}
     whole = data.tobytes()
-    for depth, parts in enumerate(levels()):
-        closed, open_ = open_, {}
-        for (a, b), members in ((r, m) for parent, m in closed.items() for r in parts if parent[0] <= r[0] and r[1] <= parent[1]):
-            m = members[(lead[members] >= a) & (size[members] - lead[members] >= LENGTH - b)]
-            key = text.hashes(anchor[m] - a, anchor[m] + LENGTH - b)
-            order = np.argsort(key, kind="stable")
-            m, key = m[order], key[order]
-            heads = np.append(True, key[1:] != key[:-1]) if len(m) else np.zeros(0, bool)
-            group = np.cumsum(heads) - 1
-            count = np.bincount(group)
-            several = count[group] > 1 if len(m) else np.zeros(0, bool)
-            m, group = m[several], group[several]
-            if not len(m):
-                continue
-            head_at = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-            group = np.cumsum(np.append(True, group[1:] != group[:-1])) - 1
-            count = np.diff(np.append(head_at, len(m)))
-            begin = np.maximum(at[:-1][m], anchor[m] - b)
-            end = np.minimum(at[1:][m], anchor[m] + LENGTH - a)
-            first = m[head_at][group]
-            head_begin, head_end = begin[head_at][group], end[head_at][group]
-            like = (end - begin == head_end - head_begin) & (text.hashes(begin, end) == text.hashes(head_begin, head_end))
-            alike = np.logical_and.reduceat(like, head_at)[group]
-            sure = np.flatnonzero(alike)
-            exact = text.equal(begin[sure], head_begin[sure], (end - begin)[sure])
-            alike[sure[~exact]] = False
-            alike = np.logical_and.reduceat(alike, head_at)
-            value = np.minimum.reduceat(ids[m], head_at)
-            now = alike[group]
-            lower(m[now], (begin - at[:-1][m])[now], (end - begin - LENGTH + 1)[now], value[group][now])
-            small = ~alike & (count <= SHARD) & (depth > 1)
-            for g in np.flatnonzero(small).tolist():
-                base = shard[-1] + 1 if shard else 0
-                for i in range(head_at[g], head_at[g] + count[g]):
-                    strings.append(whole[begin[i] : end[i]])
-                    owners.append(int(m[i]))
-                    begins.append(int(begin[i] - at[m[i]]))
-                    shard.append(base)
-                if base >= SYMBOLS // 32:
-                    solve()
-            rest = (~alike & ~small)[group]
-            if rest.any():
-                open_[(a, b)] = m[rest]
-    solve()
+    strings: list[bytes] = []
+    owners: list[np.ndarray] = []
+    shard: list[np.ndarray] = []
+    runs: list[tuple] = []
+    shards = 0
+    while now:
+        after = {}
+        for (a, b), (m, begin, n) in now.items():
+            order, alike = _alike(text, text.hashes(anchor[m] - a, anchor[m] + LENGTH - b), begin, n + LENGTH - 1)
+            m, begin, n = m[order], begin[order], n[order]
+            core = text.hashes(anchor[m] - a, anchor[m] + LENGTH - b)
+            head = np.flatnonzero(np.append(True, alike[1:] != alike[:-1]))
+            group = np.cumsum(np.append(True, core[head][1:] != core[head][:-1])) - 1
+            symbols = np.bincount(group, weights=n[head] + LENGTH)
+            fits = (symbols <= SHARD) | (a == b)
+            fit = fits[group]
+            # the distinct runs of the shards, and all runs that they stand for
+            number = np.cumsum(fit) - 1 + len(strings)
+            strings += [whole[x : x + k + LENGTH - 1] for x, k in zip(begin[head[fit]].tolist(), n[head[fit]].tolist(), strict=True)]
+            owners.append(np.minimum.reduceat(ids[m], head)[fit])
+            shard.append((np.cumsum(fits) - 1 + shards)[group[fit]])
+            shards += int(fits.sum())
+            mine = fit[alike]
+            runs.append((offset[m[mine]] + begin[mine] - at[:-1][m[mine]], n[mine], number[alike[mine]]))
+            m, begin, n = m[~mine], begin[~mine], n[~mine]
+            middle = (a + b) // 2
+            for low, high in ((a, middle), (middle + 1, b)) if len(m) else ():
+                first, last = np.maximum(begin, anchor[m] - high), np.minimum(begin + n - 1, anchor[m] - low)
+                inside = first <= last
+                if inside.any():
+                    after[(low, high)] = (m[inside], first[inside], (last - first + 1)[inside])
+        now = after
+    found = least_ids(strings, np.concatenate(owners), np.concatenate(shard))
+    values = np.concatenate(found)
+    first = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) - np.fromiter(map(len, found), np.int64, len(found))
+    to, n, number = (np.concatenate([r[i] for r in runs]) for i in range(3))
+    np.minimum.at(least, np.repeat(to, n) + ranges(n), values[np.repeat(first[number], n) + ranges(n)])
     return least, offset
 
 
 def _shards(batches):
-    """(code, least) for each unlike segment: the runs (first string, least id) of its strings, then their number."""
+    """(anchor, code, n, least) for each unlike segment: its occurrences, the runs (first string, least id) of its strings, then their number."""
     found = [b for b in batches if b.num_rows]
     if not found:
         return
     table = pa.Table.from_batches(found)
     found.clear()
-    lead, ids, number, code = (table.column(c).to_numpy() for c in ("lead", "id", "n", "code"))
+    anchor, lead, ids, number, code = (table.column(c).to_numpy() for c in ("anchor", "lead", "id", "n", "code"))
     # equal segments of several tasks
-    order = np.argsort(code, kind="stable")
-    heads = np.flatnonzero(np.append(True, code[order][1:] != code[order][:-1]))
+    order = np.lexsort((code, anchor))
+    heads = np.flatnonzero(np.append(True, (code[order][1:] != code[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])))
     ids, number, chosen = np.minimum.reduceat(ids[order], heads), np.add.reduceat(number[order], heads), order[heads]
-    code, lead = code[chosen], lead[chosen].astype(np.int64)
+    anchor, code, lead = anchor[chosen], code[chosen], lead[chosen].astype(np.int64)
     data, at = utf8(table.column("segment").take(pa.array(chosen)))
     del table
     least, offset = shared_strings(data, at, lead, ids)
@@ -440,7 +474,7 @@ def _shards(batches):
     pairs[last] = np.stack([n[told], np.full(len(ends), NO_ID)], axis=1)
     offsets = np.concatenate([[0], ends * 16]).astype(np.int32)
     cells = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(pairs)])
-    yield pa.RecordBatch.from_arrays([pa.array(code[told]), cells], names=["code", "least"])
+    yield pa.RecordBatch.from_arrays([pa.array(anchor[told]), pa.array(code[told]), pa.array(number[told]), cells], names=["l_anchor", "l_code", "l_n", "least"])
 
 
 def _marks(batches):
@@ -497,32 +531,35 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     cls = F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")
     rows = docs.select(id_.alias("doc_id"), F.coalesce(id_, F.lit(NO_ID)).alias("id"), text.alias("text"), sha.alias("sha")).withColumn("cls", cls)
     narrow = keep(rows.select("doc_id", "id", "sha", "cls", F.octet_length("text").cast("long").alias("n_bytes")), "narrow")
-    first = narrow.groupBy("sha").agg(F.min("id").alias("first"), F.first("cls").alias("first_cls")).withColumnRenamed("sha", "first_sha")
+    first = narrow.groupBy(F.col("sha").alias("first_sha")).agg(F.min("id").alias("first"), F.first("cls").alias("first_cls"), F.count("*").alias("copies"))
 
     blob = "kind int, pid int, blob binary"
     sent = rows.where(F.octet_length("text") >= LENGTH).select("cls", "text").mapInArrow(_send(parts), blob)
-    shared = sent.repartition(parts, "pid").mapInArrow(_share(parts), blob)
-    told = keep(shared.repartition(parts, "pid").mapInArrow(_told, "class long, grams binary"), "told")
+    shared = sent.repartitionById(parts, F.col("pid")).mapInArrow(_share(parts), blob)
+    told = keep(shared.repartitionById(parts, F.col("pid")).mapInArrow(_told, "class long, grams binary"), "told")
 
     low = F.col("first_cls").bitwiseAND(F.lit((1 << 40) - 1))
-    searched = first.join(told, low == F.col("class")).select(F.col("first").alias("s_id"), F.col("first_cls").alias("s_cls"), "grams")
+    searched = keep(first.join(told, low == F.col("class")).select(F.col("first").alias("s_id"), F.col("first_cls").alias("s_cls"), "grams"), "searched")
+    drop(told)
     # merged at every size: what is searched grows with the corpus
-    texts = rows.select("id", "cls", "text").hint("merge").join(searched, (F.col("id") == F.col("s_id")) & (F.col("cls") == F.col("s_cls"))).select("id", "cls", "text", "grams")
+    texts = semi_filter(rows.select("id", "cls", "text"), searched, "id", "s_id").hint("merge")
+    texts = texts.join(searched, (F.col("id") == F.col("s_id")) & (F.col("cls") == F.col("s_cls"))).select("id", "cls", "text", "grams")
     fields = "kind int, anchor long, lead int, segment binary, id long, n long, code long, cls long, start int"
     segments = keep(texts.mapInArrow(_segments(parts), fields), "segments")
+    drop(searched)
     unlike = segments.where("kind = 0").select("anchor", "lead", "segment", "id", "n", "code").repartition(parts, "anchor")
-    least = keep(unlike.mapInArrow(_shards, "code long, least binary"), "least")
-    found = segments.where("kind = 1").select("id", "cls", "start", "code").join(least.hint("merge"), "code").select("id", "cls", "start", "least")
+    least = keep(unlike.mapInArrow(_shards, "l_anchor long, l_code long, l_n long, least binary"), "least")
+    occurrences = segments.where("kind = 1").select("id", "cls", "start", "anchor", "code")
+    found = lookup(occurrences, least, [("anchor", "l_anchor"), ("code", "l_code")], "l_n", occurrences.count()).select("id", "cls", "start", "least")
     marks = found.mapInArrow(_marks, "id long, cls long, start int, strings long")
     marks = keep(marks.groupBy("id", "cls").agg(F.collect_list("start").alias("starts"), F.collect_list("strings").alias("strings")), "marks")
     drop(segments)
-    drop(told)
 
     marked = marks.select(F.col("id").alias("m_id"), F.col("cls").alias("m_cls"), "starts", "strings")
     on = (F.col("id") == F.col("m_id")) & (F.col("cls") == F.col("m_cls"))
-    cleaned = rows.select("doc_id", "id", "cls", "text").hint("merge").join(marked, on).select("doc_id", "text", "starts", "strings")
+    cleaned = semi_filter(rows.select("doc_id", "id", "cls", "text"), marked, "id", "m_id").hint("merge").join(marked, on).select("doc_id", "text", "starts", "strings")
     cleaned = cleaned.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    others = narrow.join(first, F.col("sha") == F.col("first_sha")).join(marked.select("m_id", "m_cls"), on, "left_anti")
+    others = lookup(narrow, first, [("sha", "first_sha")], "copies", narrow.count()).join(marked.select("m_id", "m_cls"), on, "left_anti")
     copy = (F.col("id") > F.col("first")) & (F.col("n_bytes") >= LENGTH)
     others = others.select(
         "doc_id",

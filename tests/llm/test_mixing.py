@@ -48,3 +48,28 @@ def test_empty_and_wordless(empty, spark):
     assert M.mix(empty).count() == 0
     rows = M.mix(spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")).collect()
     assert [(r.size, r.target, r.taken) for r in rows] == [(0, 0.0, 0)] * 2
+
+
+def test_long_documents_are_wanted_more(spark):
+    """The registered defaults: inclusion probabilities differ within a source, and the SQL agrees."""
+    rows = [(i, "w " * (20, 100, 400, 1500)[i % 4], "ab"[i % 3 == 0]) for i in range(1200)] + [(5000 + i, "w " * 30, "c") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    same_as_sql(df)
+    by = {(r.source, r.size): r.c for r in M.mix(df).groupBy("source", "size").agg(F.avg("copies").alias("c")).collect()}
+    assert by["a", 20] < by["a", 100] < by["a", 400] < by["a", 1500] < 3
+
+
+def test_inclusion_frequencies(spark):
+    """Over many seeds a document is drawn as often as it is wanted."""
+    rows = [(i, "w " * 10, "a", float(1 + i % 3)) for i in range(60)] + [(100 + i, "w " * 10, "b", 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, appeal double").repartition(1).cache()
+    sizes = df.select("doc_id", "source", F.lit(10).cast("long").alias("size"), "appeal")
+    wanted = {(r.plan_source, r.plan_weight): r.wanted for r in M.wanted_copies(sizes, M.source_targets(sizes), 3).collect()}
+    # a has a third of 1200 words as its target: 400 of 600
+    assert [round(wanted["a", w] * 3, 6) for w in (1.0, 2.0, 3.0)] == [1.0, 2.0, 3.0] and round(wanted["b", 1.0], 6) == round(800 / 600, 6)
+    seeds, drawn = 20, {}
+    for seed in range(seeds):
+        for r in M.mix(df, seed, weight="appeal").where("source = 'a'").select("doc_id", "copies").collect():
+            drawn[1 + r.doc_id % 3] = drawn.get(1 + r.doc_id % 3, 0) + r.copies
+    for w in (1, 2, 3):
+        assert abs(drawn[w] / 20 / seeds - w / 3) < 0.1

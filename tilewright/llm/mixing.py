@@ -1,11 +1,14 @@
 """Mixing sources to target weights by Pareto order sampling, with DataFrame functions only.
 
-Each source gets a target number of words. A document is wanted target / source size times,
-in proportion to its weight: the whole part is certain copies, the rest is its inclusion
-probability p in one more draw. The draw ranks a source's documents by the random odds
-u / (1 - u) divided by the inclusion odds p / (1 - p) and takes them in that order until the
-words that the source still lacks are reached; the last one is taken if that brings the
-source nearer to its target. u comes from md5 of the seed and doc_id, so reruns agree.
+Each source gets a target number of words. Within a source a document is wanted in proportion
+to its weight, by default that of its length (longer documents are wanted more), never more
+than max_copies times; the factor at which the wanted words add up to the target follows from
+one row for each source and weight. The whole part of what is wanted is certain copies, the rest its
+inclusion probability p in one more draw, which so differs from document to document. The
+draw ranks a source's documents by the random odds u / (1 - u) divided by the inclusion odds
+p / (1 - p) and takes them in that order until the words that the source still lacks are
+reached; the last one is taken if that brings the source nearer to its target. u comes from
+md5 of the seed and doc_id, so reruns agree.
 
 No source is sorted as a whole: the ranks fall into cells, the cells' sums (one row per
 source and cell) show the one cell in which a source's draw ends, and only that cell's
@@ -14,7 +17,7 @@ documents are ordered.
 Edge cases: null text has size 0; a null source is a source, the last; a null doc_id is drawn
 as the text 'null'; rows with the same source and doc_id tie and are taken or left together;
 documents of size 0 take 0 words; an empty table or one without words gives targets of 0;
-further columns are ignored.
+a weight that is null or not positive is never drawn beyond what caps force; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +29,10 @@ from tilewright.llm.common import SPACE, keep
 
 #: Cells into which a source's ranks are dealt.
 CELLS = 4096
+#: Rows (one for each source and weight) that are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 16
+#: Words from which a document weighs 2, 3 and 4.
+LENGTHS = (64, 256, 1024)
 
 
 def word_count(text: Column) -> Column:
@@ -67,27 +74,54 @@ def source_targets(sizes: DataFrame, cycle: int = 3, max_copies: int = 3) -> Dat
     return found.select("source", "source_size", F.when(under, share).otherwise(F.col("cap").cast("double")).alias("target"))
 
 
+def length_weight(size: Column) -> Column:
+    """1 for short documents, up to 4 for long ones."""
+    out = F.when(size < LENGTHS[0], 1.0)
+    for n, least in enumerate(LENGTHS[1:], 2):
+        out = out.when(size < least, float(n))
+    return out.otherwise(float(len(LENGTHS) + 1))
+
+
+def wanted_copies(sizes: DataFrame, targets: DataFrame, max_copies: int) -> DataFrame:
+    """plan_source, plan_weight, source_size, target, wanted: copies wanted of each document of a source and weight.
+
+    wanted is max_copies for the greatest weights and a common factor times the weight for the
+    others, so that the wanted words of a source add up to its target. One row for each source
+    and weight enters the ordering.
+    """
+    classes = sizes.groupBy(F.col("source").alias("plan_source"), F.col("appeal").alias("plan_weight")).agg(F.sum("size").cast("double").alias("words"))
+    joined = classes.join(targets, classes["plan_source"].eqNullSafe(targets["source"])).drop("source")
+    own = Window.partitionBy("plan_source")
+    falling = own.orderBy(F.desc("plan_weight"))
+    upto = falling.rowsBetween(Window.unboundedPreceding, -1)
+    onwards = falling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    joined = joined.withColumns(
+        {"capped": max_copies * F.coalesce(F.sum("words").over(upto), F.lit(0.0)), "weighed": F.sum(F.col("words") * F.col("plan_weight")).over(onwards)}
+    )
+    # the weights from the first one on that the common factor leaves below the bound have that factor
+    free = (F.col("target") - F.col("capped")) * F.col("plan_weight") <= max_copies * F.col("weighed")
+    level = F.max(F.when(free, F.struct("plan_weight", "capped", "weighed"))).over(own)
+    found = joined.withColumn("level", level)
+    shared = F.when(F.col("level.weighed") > 0, (F.col("target") - F.col("level.capped")) * F.col("plan_weight") / F.col("level.weighed")).otherwise(0.0)
+    under = F.coalesce(F.col("plan_weight") <= F.col("level.plan_weight"), F.lit(False))
+    wanted = F.when(F.col("source_size") > 0, F.when(under, shared).otherwise(F.lit(float(max_copies)))).otherwise(0.0)
+    return found.select("plan_source", "plan_weight", "source_size", "target", F.least(F.lit(float(max_copies)), wanted).alias("wanted"))
+
+
 def mix(docs: DataFrame, seed: int = 20, max_copies: int = 3, weight: str | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for each row of docs(doc_id, source, text).
 
-    weight names a positive column by which the wanted copies of a source's documents vary; a
-    document is never wanted more than max_copies times. Without it all are wanted alike.
+    weight names a column of positive numbers, few of them distinct, in proportion to which the
+    documents of a source are wanted; without it length_weight() counts.
     """
-    appeal = F.col(weight).cast("double") if weight else F.lit(1.0)
-    sizes = keep(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), appeal.alias("appeal"), uniform(seed).alias("u")),
-        "sizes",
-    )
-    targets = source_targets(sizes, max_copies=max_copies)
-    if weight:
-        mean = sizes.groupBy("source").agg((F.sum(F.col("size") * F.col("appeal")) / F.greatest(F.sum("size"), F.lit(1))).alias("mean_appeal"))
-    else:
-        mean = sizes.groupBy("source").agg(F.lit(1.0).alias("mean_appeal"))
-    mean = mean.withColumnRenamed("source", "s")
-    plan = targets.join(mean, targets["source"].eqNullSafe(mean["s"])).drop("s").withColumnRenamed("source", "plan_source")
-    rows = sizes.join(plan, sizes["source"].eqNullSafe(plan["plan_source"])).drop("plan_source")
-    wanted = F.when(F.col("source_size") > 0, F.least(F.lit(float(max_copies)), F.col("target") / F.col("source_size") * F.col("appeal") / F.col("mean_appeal"))).otherwise(0.0)
-    rows = rows.withColumn("wanted", wanted).withColumn("certain", F.floor("wanted"))
+    size = word_count(F.col("text"))
+    appeal = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else length_weight(size)
+    sizes = keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size"), appeal.alias("appeal"), uniform(seed).alias("u")), "sizes")
+    plan = keep(wanted_copies(sizes, source_targets(sizes, max_copies=max_copies), max_copies), "plan")
+    few = plan.count() <= BROADCAST_ROWS
+    checked = F.broadcast if few else (lambda df: df)
+    rows = sizes.join(checked(plan), sizes["source"].eqNullSafe(plan["plan_source"]) & (sizes["appeal"] == plan["plan_weight"])).drop("plan_source", "plan_weight")
+    rows = rows.withColumn("certain", F.floor("wanted"))
     p = F.col("wanted") - F.col("certain")
     odds = F.when(p > 0, F.col("u") / (1 - F.col("u")) * (1 - p) / p)
     rows = rows.withColumn("odds", odds).withColumn("cell", F.floor(F.col("odds") / (1 + F.col("odds")) * CELLS).cast("int"))
@@ -103,7 +137,8 @@ def mix(docs: DataFrame, seed: int = 20, max_copies: int = 3, weight: str | None
     # the draw ends in the last cell that begins below what is lacking
     ends = cells.where("cell is not null and before < lacking").groupBy("source").agg(F.max(F.struct("cell", "before", "lacking")).alias("end"))
     ends = ends.withColumnRenamed("source", "end_source")
-    rows = rows.join(ends, rows["source"].eqNullSafe(ends["end_source"]), "left").drop("end_source")
+    # a row for each source at most
+    rows = rows.join(checked(ends), rows["source"].eqNullSafe(ends["end_source"]), "left").drop("end_source")
     kept = ["doc_id", "source", "size", "source_size", "target", "certain"]
     surely = F.coalesce(F.col("cell") < F.col("end.cell"), F.lit(False)).cast("long").alias("more")
     at_end = F.coalesce(F.col("cell") == F.col("end.cell"), F.lit(False))
@@ -140,9 +175,20 @@ targets AS (
   SELECT source, source_size,
     CASE WHEN lc IS NOT NULL AND capped >= lc AND free THEN CAST(total - lc AS DOUBLE) * weight / lw ELSE CAST(3 * source_size AS DOUBLE) END AS target
   FROM marked LEFT JOIN level ON true),
+weighed AS (SELECT *, CASE WHEN size < 64 THEN 1.0::DOUBLE WHEN size < 256 THEN 2.0::DOUBLE WHEN size < 1024 THEN 3.0::DOUBLE ELSE 4.0::DOUBLE END AS appeal FROM sizes),
+classes AS (SELECT source, appeal, CAST(sum(size) AS DOUBLE) AS words FROM weighed GROUP BY source, appeal),
+falling AS (
+  SELECT c.source, c.appeal, t.source_size, t.target,
+    3 * coalesce(sum(words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE) AS capped,
+    sum(words * appeal) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heavy
+  FROM classes c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source WINDOW w AS (PARTITION BY c.source ORDER BY appeal DESC)),
+levels AS (SELECT source, max(appeal) AS top, arg_max(capped, appeal) AS lc, arg_max(heavy, appeal) AS lh FROM falling WHERE (target - capped) * appeal <= 3 * heavy GROUP BY source),
+plan AS (
+  SELECT f.source, f.appeal, f.source_size, f.target, CASE WHEN f.source_size <= 0 THEN 0.0::DOUBLE WHEN f.appeal <= l.top
+    THEN least(3.0::DOUBLE, CASE WHEN l.lh > 0 THEN (f.target - l.lc) * f.appeal / l.lh ELSE 0.0::DOUBLE END) ELSE 3.0::DOUBLE END AS wanted
+  FROM falling f LEFT JOIN levels l ON f.source IS NOT DISTINCT FROM l.source),
 wanted AS (
-  SELECT s.*, source_size, target, CASE WHEN source_size > 0 THEN least(3.0::DOUBLE, target / source_size * 1.0::DOUBLE / 1.0::DOUBLE) ELSE 0.0::DOUBLE END AS wanted
-  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+  SELECT s.*, source_size, target, wanted FROM weighed s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source AND s.appeal = p.appeal),
 odds AS (
   SELECT *, CAST(floor(wanted) AS BIGINT) AS certain, wanted - floor(wanted) AS p,
     CASE WHEN wanted - floor(wanted) > 0 THEN u / (1 - u) * (1 - (wanted - floor(wanted))) / (wanted - floor(wanted)) END AS odds

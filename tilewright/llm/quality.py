@@ -4,7 +4,10 @@ Eight heuristic labellers look at every document and vote good, bad or not at al
 expectation-maximisation of a model in which each labeller has its own accuracies runs on the
 counts of the vote patterns, at most 3**8 whatever the corpus holds, and gives each pattern's
 posterior. The posteriors of a bounded sample of distinct texts, with the number of their rows
-as weights, are the labels of a logistic scorer on hashed word shapes, word ends and repetitions, which then scores every document.
+as weights, are the labels of a logistic scorer on hashed word shapes, word ends and repetitions,
+which then scores every document. Lengths are in code points, and capitals are those of the Latin,
+Greek, Cyrillic and Armenian scripts. Text without spaces has few words, so that most labellers
+abstain and the score is that of a common document.
 
 Edge cases: null, empty and all-space texts have no words, score 0 and are rejected; repeated
 rows get the same answer; with fewer than two documents with words nothing is learned and all
@@ -36,10 +39,12 @@ _PLAIN[[ord(c) for c in ".,;:'\"-()?"]] = True
 def votes(words: Words) -> np.ndarray:
     """A row for each text, a column for each labeller: 1 good, 0 bad, 2 abstains."""
     n, data = words.counts, words.data
-    size = words.end - words.begin
-    kind = words.classes()
-    upper = np.concatenate([[0], np.cumsum(kind == 1)])
-    lower = np.concatenate([[0], np.cumsum(kind == 2)])
+    kind, lead = words.classes(), words.leads()
+    # all in code points
+    points = np.concatenate([[0], np.cumsum(lead)])
+    size = points[words.end] - points[words.begin]
+    upper = np.concatenate([[0], np.cumsum((kind == 1) & lead)])
+    lower = np.concatenate([[0], np.cumsum((kind == 2) & lead)])
     symbol = np.concatenate([[0], np.cumsum((kind > 32) & ~_PLAIN[data])])
     spread = lambda c: c[words.end] - c[words.begin]
     letters = spread(upper) + spread(lower)

@@ -13,7 +13,8 @@ _CLASS[65:91] = 1
 _CLASS[97:123] = 2
 _CLASS[48:58] = 3
 _CLASS[128:] = 2
-_UPPER_LEAD = 0xC3  # Latin-1 capitals are 0xC3 0x80..0x9E in UTF-8
+#: Capitals among the code points of two bytes in UTF-8 (Latin, Greek, Cyrillic, Armenian).
+_CAPITAL = np.array([chr(c).isupper() for c in range(1 << 11)])
 
 
 class Words:
@@ -43,11 +44,15 @@ class Words:
         out[long] = mix64(value ^ np.uint64(0x632BE59BD9B4E019))
         return out
 
+    def leads(self) -> np.ndarray:
+        """The bytes that begin a code point."""
+        return (self.data & 0xC0) != 0x80
+
     def classes(self) -> np.ndarray:
-        """The class of each byte; accented Latin-1 capitals count as capitals."""
+        """The class of each byte; the bytes of a capital of two bytes count as capitals."""
         out = _CLASS[self.data]
-        lead = np.flatnonzero(self.data[:-1] == _UPPER_LEAD) if len(self.data) > 1 else np.zeros(0, np.int64)
-        capital = lead[(self.data[lead + 1] >= 0x80) & (self.data[lead + 1] <= 0x9E)]
+        lead = np.flatnonzero((self.data[:-1] >= 0xC2) & (self.data[:-1] < 0xE0)) if len(self.data) > 1 else np.zeros(0, np.int64)
+        capital = lead[_CAPITAL[(self.data[lead].astype(np.int64) & 31) << 6 | self.data[lead + 1] & 63]]
         out[capital] = 1
         out[capital + 1] = 1
         return out

@@ -113,18 +113,10 @@ def _neighbours(batches):
 
 
 def _borders(batches):
-    """Results of the partitions' last rows, from (kind, doc_id, text) in the order of the partitions."""
-    first = last = None
+    """Results of partitions' last rows, from (doc_id, text, the first text of the partition that follows)."""
     for batch in batches:
-        for kind, id_, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if kind == 2:
-                last = (id_, text)
-            elif first is None:
-                first = text
-            else:
-                yield compared([last[0]], [last[1]], [text])
-    if last is not None:
-        yield compared([last[0]], [last[1]], [first])
+        for id_, text, after in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            yield compared([id_], [text], [after])
 
 
 def _distances(radius: int):
@@ -178,13 +170,18 @@ def simhash(docs: DataFrame, radius: int = RADIUS, every: int = 50) -> DataFrame
     distinct print within radius, its own among them; the rows with the fingerprint of one of
     these are the rows found. Both are null for the other rows.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     order = [F.col("doc_id").desc_nulls_last()]
-    dealt = narrow.repartitionByRange(wide(docs.sparkSession), *order).sortWithinPartitions(*order, "text")
+    dealt = narrow.repartitionByRange(wide(spark), *order).sortWithinPartitions(*order, "text")
     rows = keep(dealt.mapInArrow(_neighbours, _FIELDS + ", part int, kind int, text string"), "prints")
-    # two rows for each partition
-    edges = rows.where("kind > 0").select("part", "kind", "doc_id", "text").repartition(1).sortWithinPartitions("part", "kind").select("kind", "doc_id", "text")
+    # two rows for each partition: its last one meets the first one of the next that has rows, the last partition the first
+    held = sorted(r["part"] for r in rows.where("kind = 2").select("part").collect())
+    order = spark.createDataFrame(list(zip(held, held[1:] + held[:1], strict=True)), "last_part int, first_part int")
+    last = rows.where("kind = 2").select("part", "doc_id", "text").join(F.broadcast(order), F.col("part") == F.col("last_part"))
+    first = rows.where("kind = 1").select(F.col("part").alias("of_part"), F.col("text").alias("after"))
+    edges = last.hint("merge").join(first, F.col("first_part") == F.col("of_part")).select("doc_id", "text", "after")
     out = keep(rows.where("kind = 0").select(*_NAMES).union(edges.mapInArrow(_borders, _FIELDS)), "compared")
 
     def word(start: int):

@@ -92,3 +92,16 @@ def test_documents_within_radius(spark, odd):
         assert r.near_ids == sorted((least[f] for f in near), key=lambda i: (i is None, i))
         members = [m for m in rows if m.fingerprint in {x.fingerprint for x in rows if x.doc_id in r.near_ids}]
         assert r.n_near == len(members) - 1
+
+
+@pytest.mark.parametrize("radius", [0, 3, 7, 28, 45])
+def test_tables_find_every_near_print(radius):
+    """Against all distances, among prints that differ from each other in any number of bits."""
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 2, (20, 128), dtype=np.uint8)
+    bits = np.concatenate([base ^ (rng.random((20, 128)) < share) for share in np.linspace(0, 0.4, 40)]).astype(np.uint8)
+    p1, p2 = np.packbits(np.unique(bits, axis=0), axis=1).view(np.uint64).T.copy()
+    q1, q2 = p1[::3], p2[::3]
+    pairs = [p for q, f in S.near_prints(q1, q2, p1, p2, radius) for p in zip(q.tolist(), f.tolist(), strict=True)]
+    distance = np.bitwise_count(q1[:, None] ^ p1).astype(int) + np.bitwise_count(q2[:, None] ^ p2)
+    assert len(pairs) == len(set(pairs)) and sorted(pairs) == sorted(zip(*(x.tolist() for x in np.nonzero(distance <= radius)), strict=True))

@@ -4,10 +4,12 @@ A term is a run of five words (a shorter text is one term), its weight the numbe
 occurrences. Each term's 128-bit hash votes with its weight on each bit; a bit is set where
 the votes for it prevail. Likeness is the share of equal bits.
 
-The search is exact: blocks of query prints meet blocks of the distinct prints, and all their
-distances are counted. At a radius that texts of Jaccard similarity 0.8 need, tables by blocks
-of bits have keys of a few bits and leave out nearly nothing. Equal prints are one entry with
-a count.
+The search is exact. Prints are cut into eight blocks of 16 bits, and each block in turn is the key of
+a table of all prints. If two prints differ in at most radius bits, then in some block they differ
+in no more than its share of them (the shares and one for each block add up to radius + 1), so a
+query print probes each table with all keys that near to its own; what it finds is compared in
+full, and the first table that finds a pair tells it. Blocks of query prints meet blocks of the
+distinct prints. Equal prints are one entry with a count.
 
 Edge cases: null text counts as empty; a text without words has the print of all zeros; equal
 texts have equal prints; rows are ordered by doc_id, downwards, null last, then by text, and
@@ -24,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import BLOCK_BYTES, keep, mix64, small_batches, text_of, wide
+from tilewright.llm.common import BLOCK_BYTES, keep, mix64, ranges, small_batches, text_of, wide
 from tilewright.llm.shingles import shingle_hashes, word_hashes
 
 BITS = 128
 #: Bits in which the prints of texts with 0.8 of their shingles in common may differ.
 RADIUS = 28
-#: Prints of a block of queries and of the index, and distances that are counted at once.
-QUERY_BLOCK, INDEX_BLOCK, PAIRS = 4096, 1 << 16, 1 << 18
+#: Prints of a block of queries and of the index, and probes of a table at once.
+QUERY_BLOCK, INDEX_BLOCK, PROBES = 4096, 1 << 16, 1 << 17
+#: Blocks of the bits, each the key of a table.
+TABLES = 8
 
 
 def fingerprints(texts: list[bytes]) -> np.ndarray:
@@ -119,21 +123,50 @@ def _borders(batches):
             yield compared([id_], [text], [after])
 
 
+def shares(radius: int) -> list[int]:
+    """The bits in which prints within radius may differ in each block, if they differ in more in all others; -1 where the block needs no table."""
+    each, more = divmod(radius + 1, TABLES)
+    return [each + (i < more) - 1 for i in range(TABLES)]
+
+
+def _keys(p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+    """A column of 16-bit keys for each table."""
+    return np.stack([(p >> np.uint64(16 * i) & np.uint64(0xFFFF)).astype(np.int64) for p in (p1, p2) for i in range(4)], axis=1)
+
+
+def near_prints(q1: np.ndarray, q2: np.ndarray, p1: np.ndarray, p2: np.ndarray, radius: int):
+    """(query, print) of all pairs within radius, in portions."""
+    asked, filed = _keys(q1, q2), _keys(p1, p2)
+    most = shares(radius)
+    distance = np.bitwise_count(np.arange(1 << 16))
+    for nth, share in enumerate(most):
+        if share < 0:
+            continue
+        order = np.argsort(filed[:, nth], kind="stable")
+        start = np.searchsorted(filed[order, nth], np.arange((1 << 16) + 1))
+        flips = np.flatnonzero(distance <= share)
+        step = max(1, PROBES // len(flips))
+        for first in range(0, len(q1), step):
+            keys = (asked[first : first + step, nth, None] ^ flips).ravel()
+            size = start[keys + 1] - start[keys]
+            query = first + np.repeat(np.arange(len(keys)) // len(flips), size)
+            found = order[np.repeat(start[keys], size) + ranges(size)]
+            ok = np.flatnonzero(np.bitwise_count(q1[query] ^ p1[found]).astype(np.int64) + np.bitwise_count(q2[query] ^ p2[found]) <= radius)
+            query, found = query[ok], found[ok]
+            for before in range(nth):
+                new = distance[asked[query, before] ^ filed[found, before]].astype(np.int64) > most[before]
+                query, found = query[new], found[new]
+            yield query, found
+
+
 def _distances(radius: int):
     def run(batches):
         for batch in batches:
             for queries, prints in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("queries", "prints")), strict=True):
                 q, i = queries.values, prints.values
                 (q1, q2), (p1, p2) = ([np.asarray(x.field(c)).view(np.uint64) for c in range(2)] for x in (q, i))
-                rows = max(1, PAIRS // max(1, len(p1)))
-                for start in range(0, len(q1), rows):
-                    a, b = q1[start : start + rows], q2[start : start + rows]
-                    near = np.bitwise_count(a[:, None] ^ p1[None])
-                    # few unrelated prints are so near in their first half
-                    row, col = np.nonzero(near <= radius)
-                    ok = near[row, col].astype(np.int64) + np.bitwise_count(b[row] ^ p2[col]) <= radius
-                    row, col = row[ok], col[ok]
-                    yield pa.RecordBatch.from_arrays([pa.array(a[row].view(np.int64)), pa.array(b[row].view(np.int64)), *(i.field(c).take(pa.array(col)) for c in (2, 3))], names=["q1", "q2", "n", "doc_id"])
+                for row, col in near_prints(q1, q2, p1, p2, radius):
+                    yield pa.RecordBatch.from_arrays([pa.array(q1[row].view(np.int64)), pa.array(q2[row].view(np.int64)), *(i.field(c).take(pa.array(col)) for c in (2, 3))], names=["q1", "q2", "n", "doc_id"])
 
     return run
 
@@ -149,8 +182,9 @@ def print_pairs(queries: DataFrame, index: DataFrame, radius: int = RADIUS) -> D
         held = df.groupBy(F.pmod(F.xxhash64("p1", "p2"), F.lit(n)).alias("block")).agg(F.collect_list(F.struct(*df.columns)).alias(name))
         return held, n
 
-    asked, _ = blocks_of(queries.select("p1", "p2").distinct(), "queries", QUERY_BLOCK, 1)
-    filed, n = blocks_of(index.select("p1", "p2", F.col("n").cast("long").alias("n"), F.col("doc_id").cast("long").alias("doc_id")), "prints", INDEX_BLOCK, min(wide(spark), 48))
+    filed, n = blocks_of(index.select("p1", "p2", F.col("n").cast("long").alias("n"), F.col("doc_id").cast("long").alias("doc_id")), "prints", INDEX_BLOCK, 1)
+    # tables are dear to make, so a small index is shared out by its queries
+    asked, _ = blocks_of(queries.select("p1", "p2").distinct(), "queries", QUERY_BLOCK, -(-min(wide(spark), 48) // n))
     each = asked.select("queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("block"))
     met = each.join(filed, "block").select("queries", "prints")
     return met.mapInArrow(_distances(radius), "q1 long, q2 long, n long, doc_id long")

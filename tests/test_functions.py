@@ -193,3 +193,40 @@ def test_crops_of_large_drawings(spark):
             x0, y0 = (3, 2) if r.name.startswith(large) else (0, 20)
             found[x0 + r.part_column * 4 + int(x), y0 + r.part_row * 4 + int(y)] = v[0] << 16 | v[1] << 8 | v[2]
     assert found == {(x, y): c for x, y, c in line + small}
+
+
+def test_suffixes_of_letters_are_parts(spark):
+    """A long archive has parts .md, .sig and .asc; only notes and digests are left out."""
+    from tilewright.operators import tags
+    from tilewright.sources.split_archive import group_parts
+
+    two = [f"T.tar.gz.{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(320)]
+    three = ["U.tar.gz.asc", "U.tar.gz.sig", "U.tar.gz.aaa"]
+    others = ["T.tar.gz.txt", "T.tar.gz.json", "T.tar.gz.digest", "T.tar.gz.sha256", "T.tar.gz.md5", "readme.md"]
+    df = spark.createDataFrame([(n,) for n in [*reversed(two), *others]], "name string")
+    rows = tags.select_parts(df).orderBy("part_no").collect()
+    assert [r.name for r in rows] == two and "T.tar.gz.md" in two
+    assert group_parts(list(reversed(two)))[("T", "gzip")] == two
+    assert group_parts(three)[("U", "gzip")] == ["U.tar.gz.aaa", "U.tar.gz.asc", "U.tar.gz.sig"]
+
+
+def test_tile_paths_in_capitals(spark, tmp_path):
+    from tilewright.sources.store import tile_files
+
+    for name in ("3/4.PNG", "3/5.png", "3/6.Png", "3/7.txt"):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(b"x")
+    assert sorted((r.x, r.y) for r in tile_files(spark, str(tmp_path)).collect()) == [(3, 4), (3, 5), (3, 6)]
+
+
+def test_dense_records_of_a_production_tile(spark):
+    """1000 x 1000 pixels, a quarter of them visible."""
+    from tilewright.operators import encoding
+
+    n = 1_000_000
+    values = spark.range(0, n, 4).select(F.lit(1).alias("x"), F.lit(2).alias("y"), F.col("id").cast("int").alias("pos"), (F.col("id") % 63 + 1).cast("int").alias("value"))
+    dense = encoding.dense_records(encoding.sparse_records(values), n)
+    row = dense.select(F.size("dense").alias("n"), F.aggregate("dense", F.lit(0).cast("long"), lambda a, v: a + v).alias("total")).first()
+    assert row.n == n and row.total == sum(i % 63 + 1 for i in range(0, n, 4))
+    assert encoding.from_dense(dense).count() == n // 4

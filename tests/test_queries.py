@@ -29,11 +29,15 @@ def duck():
     return con
 
 
-def test_every_query_has_sql():
-    assert set(catalogue.queries()) == set(oracle.oracle_sql())
+#: Reachability by recursive SQL is quadratic in a drawing, and the state of a full canvas is nearly one; test_whole.py has these.
+NO_SQL = {"components_d0", "components_d3", "artworks", "run_totals"}
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.queries()))
+def test_every_other_query_has_sql():
+    assert set(catalogue.queries()) - NO_SQL == set(oracle.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query(spark, duck, name):
     found = catalogue.queries()[name](spark, SF)
     expected = duck.execute(oracle.oracle_sql()[name])

@@ -1,4 +1,4 @@
-"""The queries over the whole rolling state against brute force."""
+"""The queries of drawings, which have no SQL, against brute force over the whole rolling state."""
 
 import json
 from collections import Counter
@@ -56,7 +56,7 @@ def run(spark, d, name):
 def test_components(spark, small, table, grow):
     d = small if table == "small" else f"/root/testdata/{table}"
     expected = labels(state(spark, d), grow)
-    assert {(r.wx, r.wy): r.component for r in run(spark, d, f"state_components_d{grow}")} == expected
+    assert {(r.wx, r.wy): r.component for r in run(spark, d, f"components_d{grow}")} == expected
 
 
 @pytest.mark.parametrize("table", ["small", "sf0.001"])
@@ -71,12 +71,12 @@ def test_artworks_and_totals(spark, small, table):
         colours = len({colour[p] for p in g})
         reason = "small" if len(g) < 2 else "one colour" if colours == 1 else None
         expected[x, y, max(p[0] for p in g) - x + 1, max(p[1] for p in g) - y + 1, len(g), colours, reason] += 1
-    found = Counter((r.world_x, r.world_y, r.w, r.h, r.pixels, r.n_colors, r.skip_reason) for r in run(spark, d, "state_artworks"))
+    found = Counter((r.world_x, r.world_y, r.w, r.h, r.pixels, r.n_colors, r.skip_reason) for r in run(spark, d, "artworks"))
     assert found == expected
     reasons = Counter({r: sum(n for k, n in expected.items() if k[6] == r) for r in ("small", "one colour")})
-    assert [tuple(r) for r in run(spark, d, "state_run_totals")] == [(len(groups), reasons["small"], reasons["one colour"], len(colour))]
+    assert [tuple(r) for r in run(spark, d, "run_totals")] == [(len(groups), reasons["small"], reasons["one colour"], len(colour))]
 
 
 def test_dilation(spark, small):
     expected = {(x + dx, y + dy) for x, y in state(spark, small) for dx in (-1, 0, 1) for dy in (-1, 0, 1)}
-    assert sorted(map(tuple, run(spark, small, "state_dilation"))) == sorted(expected)
+    assert sorted(map(tuple, run(spark, small, "dilation"))) == sorted(expected)

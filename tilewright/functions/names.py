@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 #: Fixed formats of the archives: snapshot names, parts of split archives, tile paths.
 TAG = r"^world-(\d{4})-(\d{2})-(\d{2})T(\d{2})[-_:](\d{2})[-_:](\d{2})"
 PART = r"(?i)^(.+?)\.tar\.(gz|zst|zstd)\.([A-Za-z]+|\d+)$"
-#: Suffixes of checksums and notes, which look like parts.
-NOT_PARTS = ("txt", "json", "digest", "md", "sig", "asc")
-TILE = r"(\d+)/(\d+)\.png$"
+#: Suffixes of notes and digests, which look like parts; any other suffix of letters is a part's.
+NOT_PARTS = ("txt", "json", "digest")
+TILE = r"(?i)(\d+)/(\d+)\.png$"
 
 
 def tag_time(tag: Column) -> Column:
@@ -115,10 +115,10 @@ def sha256_of_digest(digest: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    """A size with one decimal in the largest unit that it reaches."""
-    out = F.format_string("%d B", n.cast("long"))
+    """A size with two decimals in the largest unit that it reaches, as 1.50KiB."""
+    out = F.format_string("%.2fB", n.cast("double"))
     for power, unit in ((1, "KiB"), (2, "MiB"), (3, "GiB"), (4, "TiB")):
-        out = F.when(n >= 1024**power, F.format_string(f"%.1f {unit}", n / float(1024**power))).otherwise(out)
+        out = F.when(F.abs(n) >= 1024**power, F.format_string(f"%.2f{unit}", n / float(1024**power))).otherwise(out)
     return out
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +37,23 @@ def sparse_records(state: DataFrame, value: str = "value") -> DataFrame:
 
 
 def dense_records(records: DataFrame, tile_pixels: int) -> DataFrame:
-    """x, y, dense: a value for each position, 0 where the sparse record has none."""
-    filled = F.map_from_entries("record")
-    return records.select("x", "y", F.transform(F.sequence(F.lit(0), F.lit(tile_pixels - 1)), lambda i: F.coalesce(F.try_element_at(filled, i), F.lit(0))).alias("dense"))
+    """x, y, dense: a value for each position, 0 where the sparse record has none.
+
+    A record is scattered into a zeroed array, so a tile costs its pixels and no search.
+    """
+
+    def run(batches):
+        for batch in batches:
+            x, y, record = (batch.column(batch.schema.get_field_index(c)) for c in ("x", "y", "record"))
+            for i in range(batch.num_rows):  # a tile at a time: its pixels are the unit of memory
+                one = record[i].values
+                dense = np.zeros(tile_pixels, np.int32)
+                if one is not None and len(one):
+                    dense[np.asarray(one.field(0))] = np.asarray(one.field(1))
+                cell = pa.ListArray.from_arrays(pa.array([0, tile_pixels], pa.int32()), pa.array(dense))
+                yield pa.RecordBatch.from_arrays([x.slice(i, 1), y.slice(i, 1), cell], names=["x", "y", "dense"])
+
+    return records.select("x", "y", "record").mapInArrow(run, "x int, y int, dense array<int>")
 
 
 def from_dense(dense: DataFrame) -> DataFrame:

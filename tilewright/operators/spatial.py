@@ -32,6 +32,11 @@ def neighbour_mosaic(tiles: DataFrame) -> DataFrame:
 
 def links(points: DataFrame, d: int) -> DataFrame:
     """(a, b), a < b, of points(id, wx, wy) that a dilation by d joins."""
+    if d == 0:  # edge neighbours: the point to the right and the one below
+        place = points.select(F.col("id").alias("b"), F.col("wx").alias("bx"), F.col("wy").alias("by"))
+        steps = F.array(F.struct(F.lit(1).alias("dx"), F.lit(0).alias("dy")), F.struct(F.lit(0).alias("dx"), F.lit(1).alias("dy")))
+        spread = points.select(F.col("id").alias("a"), "wx", "wy", F.explode(steps).alias("o")).select("a", (F.col("wx") + F.col("o.dx")).alias("bx"), (F.col("wy") + F.col("o.dy")).alias("by"))
+        return spread.join(place, ["bx", "by"]).select("a", "b")
     reach = 2 * d + 1
     width = reach + 1
     cell = points.select("id", "wx", "wy", F.floor(F.col("wx") / width).alias("cx"), F.floor(F.col("wy") / width).alias("cy"))
@@ -44,10 +49,13 @@ def links(points: DataFrame, d: int) -> DataFrame:
 
 
 def _saved(df: DataFrame) -> DataFrame:
-    """Cuts lineage by a checkpoint in the shared folder (an own one only where none is set)."""
+    """Cuts lineage by a checkpoint in the shared folder (an own one only where none is set and all runs on this machine)."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tilewright-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tilewright-"))
     return df.checkpoint()
 
 
@@ -63,7 +71,6 @@ def components(points: DataFrame, d: int) -> DataFrame:
     while True:
         near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("least"))
         spread = labels.join(near, F.col("id") == F.col("a"), "left").select("id", F.col("component").alias("old"), F.least("component", F.coalesce("least", F.col("component"))).alias("component"))
-        spread = _saved(spread)
         jump = spread.select(F.col("id").alias("j_id"), F.col("component").alias("j_component"))
         new = spread.join(jump, F.col("component") == F.col("j_id")).select("id", "old", F.col("j_component").alias("component"))
         new = _saved(new)

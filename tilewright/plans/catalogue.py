@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.functions import colours, names
@@ -19,10 +19,6 @@ _FOUND: dict[str, Query] = {}
 AS_OF = datetime(2024, 1, 15)
 THIN_DAYS = 10
 FIRST, LAST, RANGE_DAYS, RANGE_LIMIT = datetime(1996, 1, 1), datetime(1998, 12, 31), 14, 50
-ASSETS = (
-    "T.tar.gz.aa", "T.tar.gz.ab", "T.tar.gz.sha256", "T.tar.zst.aa", "T.tar.zst.ab", "T.tar.zst.txt", "notes.md", "T.tar.zst", "T.TAR.ZST.AC",
-)
-PARTS = ("T.tar.gz.z", "T.tar.gz.aa", "T.tar.gz.az", "T.tar.gz.ba", "T.tar.gz.2", "T.tar.gz.10", "t.tar.gz.b", "S.tar.gz.aa")
 EXPLICIT = [419430, 4194300]
 
 
@@ -43,11 +39,14 @@ def _days(spark, d) -> DataFrame:
     return pixels(spark, d).select("tag_ts").distinct()
 
 
-def _first_day(spark, d) -> DataFrame:
-    """The overlay of the first snapshot: a slice for recursive SQL (plans/whole.py has the whole state)."""
-    px = pixels(spark, d)
-    first = px.agg(F.min("tag_ts").alias("first_ts"))
-    return state.tag_overlay(px.join(F.broadcast(first), F.col("tag_ts") == F.col("first_ts")).drop("first_ts"))  # one row
+def _labelled(spark, d, grow: int) -> DataFrame:
+    """The pixels of the whole rolling state with their drawing."""
+    return spatial.components(spatial.world(state.rolling_state(pixels(spark, d)), TILE_SIZE), grow)
+
+
+def _letters(k) -> Column:
+    """A number as three letters, aaa on."""
+    return F.concat(*(F.char((F.lit(97) + F.floor(k / step) % 26).cast("int")) for step in (676, 26, 1)))
 
 
 @query
@@ -86,7 +85,7 @@ def pixel_deltas(spark, d):
 def composite(spark, d):
     """Every event a layer; values of the table as alpha."""
     layers = pixels(spark, d).join(table(spark, d, "events").select("event_id", F.least(F.lit(255), F.floor(F.abs("value")) % 256).cast("int").alias("a")), "event_id")
-    return state.composite_over(layers.select("event_id", "x", "y", "pos", "rgb24", "a"), "a").groupBy("x", "y").agg(F.count_if(F.expr("alpha > 0")).alias("seen"), F.count("*").alias("n"))
+    return state.composite_over(layers.select("event_id", "x", "y", "pos", "rgb24", "a"), "a")
 
 
 @query
@@ -328,13 +327,19 @@ def tag_except(spark, d):
 
 @query
 def asset_select(spark, d):
-    assets = spark.createDataFrame([(a,) for a in ASSETS], "name string")
-    return tags.select_parts(assets)
+    """Names of both codecs with suffixes of two and three letters, notes and a checksum among them."""
+    k = F.col("s_suppkey")
+    suffix = F.when(k % 10 == 0, "txt").when(k % 10 == 1, "json").when(k % 10 == 2, "sha256").otherwise(_letters(k))
+    name = F.concat(F.lit("T.tar."), F.when(k % 2 == 0, "gz").otherwise("zst"), F.lit("."), suffix)
+    return tags.select_parts(table(spark, d, "supplier").select(name.alias("name")))
 
 
 @query
 def split_sort(spark, d):
-    return tags.sort_parts(spark.createDataFrame([(p,) for p in PARTS], "name string"))
+    """Parts of numbers and of letters of several archives."""
+    k = F.col("s_suppkey")
+    name = F.concat(F.when(k % 2 == 0, "T").otherwise("s"), (k % 7).cast("string"), F.lit(".tar.gz."), F.when(k % 3 == 0, k.cast("string")).when(k % 3 == 1, F.upper(_letters(k))).otherwise(F.concat(F.lit("z"), _letters(k))))
+    return tags.sort_parts(table(spark, d, "supplier").select(name.alias("name")))
 
 
 @query
@@ -344,7 +349,7 @@ def natural_keys(spark, d):
 
 @query
 def tile_path_parse(spark, d):
-    path = F.concat(F.lit("a\\"), (F.col("s_suppkey") % 9).cast("string"), F.lit("/"), F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 5 == 0, ".txt").otherwise(".png"))
+    path = F.concat(F.lit("a\\"), (F.col("s_suppkey") % 9).cast("string"), F.lit("/"), F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 5 == 0, ".txt").when(F.col("s_suppkey") % 5 == 1, ".PNG").otherwise(".png"))
     found = table(spark, d, "supplier").select("s_suppkey", path.alias("path"))
     return found.select("s_suppkey", names.tile_x(F.col("path")).alias("x"), names.tile_y(F.col("path")).alias("y")).where("x is not null")
 
@@ -372,18 +377,17 @@ def neighbor_mosaic(spark, d):
 
 @query
 def components_d0(spark, d):
-    return spatial.components(spatial.world(_first_day(spark, d), TILE_SIZE), 0).select("wx", "wy", "component")
+    return _labelled(spark, d, 0).select("wx", "wy", "component")
 
 
 @query
 def components_d3(spark, d):
-    return spatial.components(spatial.world(_first_day(spark, d), TILE_SIZE), 3).select("wx", "wy", "component")
+    return _labelled(spark, d, 3).select("wx", "wy", "component")
 
 
 @query
 def artworks(spark, d):
-    found = spatial.component_stats(spatial.components(spatial.world(_first_day(spark, d), TILE_SIZE), 0))
-    return spatial.artworks(found, 2).drop("component")
+    return spatial.artworks(spatial.component_stats(_labelled(spark, d, 0)), 2).drop("component")
 
 
 @query
@@ -416,17 +420,11 @@ def shard_lists(spark, d):
 
 @query
 def run_totals(spark, d):
-    stats = spatial.artworks(spatial.component_stats(spatial.components(spatial.world(_first_day(spark, d), TILE_SIZE), 0)), 2)
-    return spatial.totals(stats)
+    return spatial.totals(spatial.artworks(spatial.component_stats(_labelled(spark, d, 0)), 2))
 
 
 @query
 def dilation(spark, d):
-    return spatial.dilate(spatial.world(_first_day(spark, d), TILE_SIZE), 1)
-
-
-@query
-def state_dilation(spark, d):
     return spatial.dilate(spatial.world(state.rolling_state(pixels(spark, d)), TILE_SIZE), 1)
 
 

@@ -15,9 +15,9 @@ _TILES = """tiles AS (SELECT x, y, count(*) AS count, CASE WHEN count(*) * 5 < 2
 _SHARDS = """shards AS (SELECT CAST(x // 2 AS INT) AS sx, CAST(y // 2 AS INT) AS sy, count(*) AS tile_count, CAST(sum(count) AS BIGINT) AS visible_pixels,
   CAST(sum(stored_bytes) AS BIGINT) AS stored_bytes, printf('s%04d_%04d', x // 2, y // 2) AS name FROM tiles GROUP BY x // 2, y // 2)"""
 _CUT = "TIMESTAMP '2024-01-15 00:00:00'"
-_FIRST = "first_day AS (SELECT x, y, pos, rgb24 FROM overlay WHERE tag_ts = (SELECT min(tag_ts) FROM px))"
 _WORLD = """world AS (SELECT CAST(y AS BIGINT) * 16 + pos // 16 AS wy, CAST(x AS BIGINT) * 16 + pos % 16 AS wx, rgb24,
-  ((CAST(y AS BIGINT) * 16 + pos // 16) << 31) | (CAST(x AS BIGINT) * 16 + pos % 16) AS id FROM first_day)"""
+  ((CAST(y AS BIGINT) * 16 + pos // 16) << 31) | (CAST(x AS BIGINT) * 16 + pos % 16) AS id FROM state)"""
+_LETTERS = "(chr(CAST(97 + s_suppkey // 676 % 26 AS INT)) || chr(CAST(97 + s_suppkey // 26 % 26 AS INT)) || chr(CAST(97 + s_suppkey % 26 AS INT)))"
 _TAGS = "times AS (SELECT DISTINCT CAST(o_orderdate AS TIMESTAMP) AS t FROM orders)"
 
 
@@ -31,23 +31,10 @@ def _thin(name: str, days: int, source: str = "times") -> str:
   WHERE EXISTS (SELECT 1 FROM {source} WHERE t >= {name}.tag_ts + INTERVAL {days} DAY))"""
 
 
-def _components(d: int) -> str:
-    """Reachability over the first day's pixels."""
-    k = 2 * d + 1
-    return f"""edges AS (SELECT a.id AS a, b.id AS b FROM world a JOIN world b ON a.id <> b.id AND abs(a.wx - b.wx) <= {k} AND abs(a.wy - b.wy) <= {k}
-  AND NOT (abs(a.wx - b.wx) = {k} AND abs(a.wy - b.wy) = {k})),
-reach(id, root) AS (SELECT id, id FROM world UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.id),
-labelled AS (SELECT id, min(root) AS component FROM reach GROUP BY id)"""
-
-
-_STATS = """stats AS (SELECT component, min(wx) AS world_x, min(wy) AS world_y, max(wx) - min(wx) + 1 AS w, max(wy) - min(wy) + 1 AS h,
-  count(*) AS pixels, count(DISTINCT rgb24) AS n_colors FROM world JOIN labelled USING (id) GROUP BY component),
-art AS (SELECT world_x, world_y, w, h, pixels, n_colors, printf('art_x%d_y%d_w%d_h%d.png', world_x, world_y, w, h) AS name,
-  CASE WHEN pixels < 2 THEN 'small' WHEN n_colors <= 1 THEN 'one colour' END AS skip_reason FROM stats)"""
-
-
-def _values(rows) -> str:
-    return "(VALUES " + ", ".join(f"('{r}')" for r in rows) + ") AS v(name)"
+def _mixed(shift: int) -> str:
+    """A channel of layer p over layer q."""
+    weight = "(q.a * (255 - p.a) / 255.0::DOUBLE)"
+    return f"""(CASE WHEN p.a + {weight} > 0 THEN least(255, greatest(0, floor((((p.c >> {shift}) & 255) * p.a + ((q.c >> {shift}) & 255) * {weight}) / (p.a + {weight}) + 0.5::DOUBLE)))::BIGINT ELSE 0::BIGINT END)"""
 
 
 def _transparent(condition: str) -> str:
@@ -59,14 +46,11 @@ def _key(field: str, size: int = 1) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from tilewright.plans.catalogue import ASSETS, PARTS
-
     base = _with(_PX, _OVERLAY, _STATE)
     tiled = _with(_PX, _OVERLAY, _STATE, _TILES, _SHARDS)
     as_of = f"SELECT x, y, pos, arg_max(rgb24, tag_ts) AS rgb24 FROM overlay WHERE tag_ts <= {_CUT} GROUP BY ALL"
     encoded = _with(_PX, _OVERLAY, _STATE, _PALETTE)
     sets = _with(_TAGS, _thin("a", 5), _thin("b", 10), recursive=True)
-    comp = lambda d: _with(_PX, _OVERLAY, _FIRST, _WORLD, _components(d), recursive=True)
     over_a = "floor(a + b * (255 - a) / 255.0::DOUBLE + 0.5::DOUBLE)"
     suffix = "list_reduce(list_prepend(0::BIGINT, list_transform(string_split(lower(suffix), ''), lambda c: (ascii(c) - 97)::BIGINT)), lambda p, q: p * 26 + q)"
     out = {
@@ -82,9 +66,13 @@ def oracle_sql() -> dict[str, str]:
         )
         + """SELECT tag_ts, count(*) FILTER (WHERE now = 1 AND had = 0) AS added, count(*) FILTER (WHERE now = 0 AND had = 1) AS disappeared,
   count(*) FILTER (WHERE now = 1 AND had = 0) - count(*) FILTER (WHERE now = 0 AND had = 1) AS net FROM run GROUP BY tag_ts""",
-        "composite": _with(_PX)
-        + """SELECT x, y, count(*) FILTER (WHERE a > 0) AS seen, count(*) AS n FROM
-  (SELECT x, y, pos, max(CAST(floor(abs(value)) AS BIGINT) % 256) AS a FROM px JOIN events USING (event_id) GROUP BY x, y, pos) GROUP BY x, y""",
+        "composite": _with(
+            _PX,
+            "layers AS (SELECT x, y, pos, list({'c': rgb24::BIGINT, 'a': CAST(floor(abs(value)) AS BIGINT) % 256} ORDER BY event_id) AS l FROM px JOIN events USING (event_id) GROUP BY x, y, pos)",
+            f"""folded AS (SELECT x, y, pos, list_reduce(list_prepend({{'c': 0::BIGINT, 'a': 0::BIGINT}}, l), lambda q, p:
+  {{'c': ({_mixed(16)} << 16) | ({_mixed(8)} << 8) | {_mixed(0)}, 'a': floor(p.a + q.a * (255 - p.a) / 255.0::DOUBLE + 0.5::DOUBLE)::BIGINT}}) AS f FROM layers)""",
+        )
+        + "SELECT x, y, pos, CAST(f.c AS INT) AS rgb24, CAST(f.a AS INT) AS alpha FROM folded",
         "alpha_over": _with(_PX, "l AS (SELECT event_id, event_id % 256 AS a, event_id // 7 % 256 AS b, pos AS below, rgb24 % 256 AS above FROM px)")
         + f"""SELECT event_id, CAST({over_a} AS INT) AS out_alpha, CAST(CASE WHEN a + b * (255 - a) / 255.0::DOUBLE > 0 THEN
   least(255, greatest(0, floor((above * a + below * (b * (255 - a) / 255.0::DOUBLE)) / (a + b * (255 - a) / 255.0::DOUBLE) + 0.5::DOUBLE))) ELSE 0 END AS INT) AS out_channel FROM l""",
@@ -172,11 +160,13 @@ GROUP BY n.x, n.y""",
         "tag_intersect": sets + "SELECT tag_ts FROM a INTERSECT SELECT tag_ts FROM b",
         "tag_union": sets + "SELECT tag_ts FROM a UNION SELECT tag_ts FROM b",
         "tag_except": sets + "SELECT tag_ts FROM a EXCEPT SELECT tag_ts FROM b",
-        "asset_select": f"""WITH p AS (SELECT name, {_key('1')} AS prefix, lower({_key('2')}) AS ext, {_key('3')} AS suffix FROM {_values(ASSETS)}),
-q AS (SELECT name, prefix, CASE WHEN ext = 'gz' THEN 'gzip' ELSE 'zstd' END AS codec, suffix FROM p
-  WHERE suffix <> '' AND lower(suffix) NOT IN ('txt', 'json', 'digest', 'md', 'sig', 'asc'))
+        "asset_select": f"""WITH n AS (SELECT 'T.tar.' || CASE WHEN s_suppkey % 2 = 0 THEN 'gz' ELSE 'zst' END || '.' || CASE s_suppkey % 10 WHEN 0 THEN 'txt' WHEN 1 THEN 'json' WHEN 2 THEN 'sha256' ELSE {_LETTERS} END AS name FROM supplier),
+p AS (SELECT name, {_key('1')} AS prefix, lower({_key('2')}) AS ext, {_key('3')} AS suffix FROM n),
+q AS (SELECT name, prefix, CASE WHEN ext = 'gz' THEN 'gzip' ELSE 'zstd' END AS codec, suffix FROM p WHERE suffix <> '' AND lower(suffix) NOT IN ('txt', 'json', 'digest'))
 SELECT name, prefix, codec, CAST(row_number() OVER (ORDER BY length(suffix), {suffix}, name) AS INT) AS part_no FROM q WHERE codec = 'zstd'""",
-        "split_sort": f"""WITH p AS (SELECT name, lower({_key('1')}) AS prefix, {_key('3')} AS suffix FROM {_values(PARTS)}),
+        "split_sort": f"""WITH n AS (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'T' ELSE 's' END || (s_suppkey % 7) || '.tar.gz.' ||
+  CASE s_suppkey % 3 WHEN 0 THEN s_suppkey::VARCHAR WHEN 1 THEN upper({_LETTERS}) ELSE 'z' || {_LETTERS} END AS name FROM supplier),
+p AS (SELECT name, lower({_key('1')}) AS prefix, {_key('3')} AS suffix FROM n),
 k AS (SELECT name, prefix, CASE WHEN regexp_matches(suffix, '^\\d+$') THEN 0 ELSE 1 END AS kind, CASE WHEN regexp_matches(suffix, '^\\d+$') THEN 0 ELSE length(suffix) END AS len,
   CASE WHEN regexp_matches(suffix, '^\\d+$') THEN TRY_CAST(suffix AS BIGINT) ELSE {suffix} END AS number FROM p)
 SELECT name, CAST(row_number() OVER (ORDER BY prefix, kind, len, number, name) AS INT) AS part_no FROM k""",
@@ -186,22 +176,14 @@ SELECT name, CAST(row_number() OVER (ORDER BY prefix, kind, len, number, name) A
         "mode_samples": "SELECT event_type, event_id, CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS INT) AS nth FROM events QUALIFY nth <= 20",
         "ingest_stats": _with(_PX) + "SELECT tag_ts, count(*) AS pixels, count(*) FILTER (WHERE alpha <> 0) AS visible, count(DISTINCT x * 100 + y) AS tiles FROM px GROUP BY tag_ts",
         "neighbor_mosaic": tiled + "SELECT a.x, a.y, b.x AS nx, b.y AS ny, b.count FROM tiles a JOIN tiles b ON abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1",
-        "components_d0": comp(0) + "SELECT wx, wy, component FROM world JOIN labelled USING (id)",
-        "components_d3": comp(3) + "SELECT wx, wy, component FROM world JOIN labelled USING (id)",
-        "artworks": comp(0).rstrip() + f",\n{_STATS}\nSELECT * FROM art",
-        "run_totals": comp(0).rstrip()
-        + f""",\n{_STATS}\nSELECT count(*) AS found, count(*) FILTER (WHERE skip_reason = 'small') AS small,
-  count(*) FILTER (WHERE skip_reason = 'one colour') AS one_colour, CAST(sum(pixels) AS BIGINT) AS pixels FROM art""",
         "digest_check": "SELECT doc_id, sha256(coalesce(text, '')) AS digest FROM documents",
         "digest_names": "SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN sha256(coalesce(text, '')) END AS digest FROM documents",
         "hit_rate": """SELECT user_id, CAST(floor(coalesce(h / nullif(h + m, 0), 0) * 1000000.0::DOUBLE) AS BIGINT) AS rate_millionths FROM
   (SELECT user_id, count(*) FILTER (WHERE event_type = 'click') AS h, count(*) FILTER (WHERE event_type = 'view') AS m FROM events GROUP BY user_id)""",
-        "byte_sizes": """SELECT doc_id, CASE WHEN n >= 1024 ** 3 THEN printf('%.1f GiB', round(n / 1024.0 ** 3, 1)) WHEN n >= 1024 ** 2 THEN printf('%.1f MiB', round(n / 1024.0 ** 2, 1))
-  WHEN n >= 1024 THEN printf('%.1f KiB', round(n / 1024.0, 1)) ELSE printf('%d B', n) END AS size FROM (SELECT doc_id, strlen(coalesce(text, '')) * 1000 AS n FROM documents)""",
+        "byte_sizes": """SELECT doc_id, CASE WHEN n >= 1024 ** 3 THEN printf('%.2fGiB', round(n / 1024.0 ** 3, 2)) WHEN n >= 1024 ** 2 THEN printf('%.2fMiB', round(n / 1024.0 ** 2, 2))
+  WHEN n >= 1024 THEN printf('%.2fKiB', round(n / 1024.0, 2)) ELSE printf('%.2fB', n::DOUBLE) END AS size FROM (SELECT doc_id, strlen(coalesce(text, '')) * 1000 AS n FROM documents)""",
         "shard_lists": "SELECT n_nationkey, unnest(['s0001_0002', printf('s%04d_%04d', n_nationkey, n_regionkey)]) AS name FROM nation",
-        "dilation": _with(_PX, _OVERLAY, _FIRST, _WORLD)
-        + "SELECT DISTINCT wx + dx AS wx, wy + dy AS wy FROM world, (VALUES (-1), (0), (1)) AS a(dx), (VALUES (-1), (0), (1)) AS b(dy)",
-        "state_dilation": _with(_PX, _OVERLAY, _STATE, _WORLD.replace("FROM first_day", "FROM state"))
+        "dilation": _with(_PX, _OVERLAY, _STATE, _WORLD)
         + "SELECT DISTINCT wx + dx AS wx, wy + dy AS wy FROM world, (VALUES (-1), (0), (1)) AS a(dx), (VALUES (-1), (0), (1)) AS b(dy)",
         "shard_discovery": tiled + "SELECT name FROM shards WHERE sx < 2 UNION SELECT name FROM shards WHERE sy > 1",
         "shard_encodings": tiled

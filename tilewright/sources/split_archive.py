@@ -19,9 +19,9 @@ from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-_PART = re.compile(r"(?i)^(.+?)\.tar\.(gz|zst|zstd)\.([A-Za-z]+|\d+)$")
-_TILE = re.compile(r"(\d+)/(\d+)\.png$")
-_NOT_PARTS = {"txt", "json", "digest", "md", "sig", "asc"}
+from tilewright.functions.names import NOT_PARTS, PART, TILE
+
+_PART, _TILE = re.compile(PART), re.compile(TILE)
 
 
 class ArchiveError(ValueError):
@@ -39,7 +39,7 @@ def group_parts(paths: list[str]) -> dict[tuple[str, str], list[str]]:
     out: dict[tuple[str, str], list[str]] = {}
     for path in paths:
         found = _PART.match(path.rsplit("/", 1)[-1])
-        if not found or found[3].lower() in _NOT_PARTS:
+        if not found or found[3].lower() in NOT_PARTS:
             raise ArchiveError(f"not a part of a split archive: {path}")
         out.setdefault((found[1], "gzip" if found[2].lower() == "gz" else "zstd"), []).append(path)
     if not out:

@@ -69,7 +69,7 @@ class Store:
 
 def tile_files(spark: SparkSession, folder: str) -> DataFrame:
     """x, y, path, content of the files x/y.png under a folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").option("recursiveFileLookup", "true").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][nN][gG]").option("recursiveFileLookup", "true").load(folder)
     found = files.select(tile_x(F.col("path")).alias("x"), tile_y(F.col("path")).alias("y"), "path", "content")
     return found.where("x is not null and y is not null")
 

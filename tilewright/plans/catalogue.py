@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.functions import colours, names
-from tilewright.operators import encoding, palette, shards, spatial, state, tags, transparency, validation
+from tilewright.operators import encoding, palette, payloads, shards, spatial, state, tags, transparency, validation
 from tilewright.sources.tables import GRID, SHARD_TILES, TILE_PIXELS, TILE_SIZE, pixels, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,6 +222,21 @@ def dense_roundtrip(spark, d):
     return encoding.from_dense(encoding.dense_records(encoding.sparse_records(encoded), TILE_PIXELS))
 
 
+def _state_payloads(spark, d) -> DataFrame:
+    px = pixels(spark, d)
+    return payloads.payloads(palette.encode(state.rolling_state(px).withColumn("alpha", F.lit(255)), palette.build(px)), TILE_PIXELS)
+
+
+@query
+def payload_sizes(spark, d):
+    return _state_payloads(spark, d).select("x", "y", "count", "encoding", "uncompressed_size")
+
+
+@query
+def payload_roundtrip(spark, d):
+    return payloads.from_payloads(_state_payloads(spark, d), TILE_PIXELS)
+
+
 @query
 def shard_manifest(spark, d):
     return shards.manifest(_state_tiles(spark, d), SHARD_TILES)

@@ -118,6 +118,8 @@ def oracle_sql() -> dict[str, str]:
   least(count(*) * 5, 256) AS stored_bytes FROM overlay GROUP BY ALL""",
         "sparse_records": encoded + "SELECT x, y, CAST(row_number() OVER (PARTITION BY x, y ORDER BY pos) - 1 AS INT) AS nth, pos, index AS value FROM state JOIN palette USING (rgb24)",
         "dense_roundtrip": encoded + "SELECT x, y, pos, index AS value FROM state JOIN palette USING (rgb24)",
+        "payload_roundtrip": encoded + "SELECT x, y, pos, index AS value FROM state JOIN palette USING (rgb24)",
+        "payload_sizes": tiled + "SELECT x, y, CAST(count AS INT) AS count, encoding, CAST(stored_bytes AS INT) AS uncompressed_size FROM tiles",
         "shard_manifest": tiled + "SELECT * FROM shards",
         "store_rollup": tiled
         + """SELECT CAST(x // 2 AS INT) AS sx, CAST(y // 2 AS INT) AS sy, count(*) AS tile_count, CAST(sum(count) AS BIGINT) AS visible_pixels,

@@ -229,6 +229,59 @@ def decode_pixels(tiles: DataFrame, tile_size: int, strict: bool = False) -> Dat
     return tiles.select(*names, "content").mapInArrow(run, schema)
 
 
+def visible_mask(image: np.ndarray, head: Header, mode: str = "corners", least_share: float = 0.9, explicit: tuple[int, ...] = ()) -> np.ndarray:
+    """Which pixels of a decoded image are visible: by alpha, or in an image without it by colour.
+
+    There black and the explicit colours are transparent, and in mode corners the colour that all
+    four corners share if it fills least_share of the image or more.
+    """
+    if head.mode != "RGB" or head.trns is not None:
+        return image[..., 3].ravel() != 0 if image.shape[2] == 4 else np.ones(image.shape[0] * image.shape[1], bool)
+    flat = image[..., :3].reshape(-1, 3).astype(np.int32)
+    colour = flat[:, 0] << 16 | flat[:, 1] << 8 | flat[:, 2]
+    clear = (colour == 0) | np.isin(colour, np.array(explicit, np.int32))
+    width = image.shape[1]
+    corners = {int(colour[i]) for i in (0, width - 1, len(colour) - width, len(colour) - 1)}
+    if mode == "corners" and len(corners) == 1:
+        same = colour == corners.pop()
+        if same.mean() >= least_share:
+            clear |= same
+    return ~clear
+
+
+def decode_visible(tiles: DataFrame, tile_size: int, strict: bool = False, mode: str = "corners", least_share: float = 0.9, explicit: tuple[int, ...] = (), warn_share: float = 0.7) -> DataFrame:
+    """The visible pixels of tiles, and a row with pos -1 for each tile: its mode and counts. One decoding serves both.
+
+    tag_ts, x, y, event_id (place in the archive), pos, rgb24, alpha; mode, trns, visible, black, opaque, warning only in the rows of tiles.
+    """
+    names = ["tag_ts", "x", "y", "event_id", "pos", "rgb24", "alpha", "mode", "trns", "visible", "black", "opaque", "warning"]
+    types = [pa.timestamp("us"), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+
+    def run(batches):
+        for batch in batches:
+            given = [batch.column(batch.schema.get_field_index(c)) for c in ("tag_ts", "x", "y", "ordinal", "content")]
+            for row in zip(*(c.to_pylist() for c in given), strict=True):
+                image, head = decode(row[4])
+                if image.shape[:2] != (tile_size, tile_size):
+                    raise PngError(f"a tile of {image.shape[1]} x {image.shape[0]} pixels")
+                alpha = image[..., 3].ravel() if image.shape[2] == 4 else np.full(tile_size * tile_size, 255, np.uint8)
+                if strict and (head.mode != "RGBA" or ((alpha != 0) & (alpha != 255)).any()):
+                    raise PngError("not RGBA with binary alpha")
+                flat = image.reshape(-1, image.shape[2]).astype(np.int32)
+                colour = flat[:, 0] << 16 | flat[:, 1] << 8 | flat[:, 2]
+                pos = np.flatnonzero(visible_mask(image, head, mode, least_share, explicit)).astype(np.int32)
+                black, opaque = int((colour == 0).sum()), bool((alpha == 255).all())
+                n = len(pos)
+                told = [head.mode, head.trns is not None, n, black, opaque, opaque and black >= warn_share * len(colour)]
+                keys = [[v] * (n + 1) for v in row[:4]]
+                values = [np.append(pos, -1), np.append(colour[pos], 0), np.append(alpha[pos].astype(np.int32), 0)]
+                columns = [*keys, *values, *([None] * n + [t] for t in told)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    schema = "tag_ts timestamp_ntz, x int, y int, event_id long, pos int, rgb24 int, alpha int, mode string, trns boolean, visible long, black long, opaque boolean, warning boolean"
+    return tiles.select("tag_ts", "x", "y", "ordinal", "content").mapInArrow(run, schema)
+
+
 def mode_report(tiles: DataFrame) -> DataFrame:
     """x, y, mode, trns, black_entries of tiles(x, y, content), from the headers alone."""
 

@@ -12,6 +12,7 @@ paths may hold several archives; their parts are grouped by name.
 
 from __future__ import annotations
 
+import os
 import re
 import tarfile
 import zlib
@@ -47,11 +48,15 @@ def group_parts(paths: list[str]) -> dict[tuple[str, str], list[str]]:
     return {k: sorted(v, key=part_order) for k, v in out.items()}
 
 
+def file_size(path: str) -> int:
+    return os.path.getsize(path)
+
+
 class Stream:
     """The inflated bytes of parts, as a file to read from."""
 
     def __init__(self, paths: list[str], codec: str, chunk: int = 1 << 20):
-        self.blocks, self.rest = self._inflated(paths, codec, chunk), b""
+        self.blocks, self.rest, self.total = self._inflated(paths, codec, chunk), b"", 0
 
     @staticmethod
     def _inflated(paths: list[str], codec: str, chunk: int) -> Iterator[bytes]:
@@ -85,6 +90,7 @@ class Stream:
                 break
             parts.append(block)
             have += len(block)
+            self.total += len(block)
         whole = b"".join(parts)
         if n < 0:
             n = len(whole)

@@ -23,7 +23,12 @@ def latest(pixels: DataFrame) -> DataFrame:
 
 def merge(state: DataFrame, batch: DataFrame) -> DataFrame:
     """The state with a batch's pixels, by order key."""
-    both = state.select(*PIXEL, "rgb24", "written").unionByName(latest(batch))
+    return fold(state, latest(batch))
+
+
+def fold(state: DataFrame, new: DataFrame) -> DataFrame:
+    """The state with further pixels of its own form."""
+    both = state.select(*PIXEL, "rgb24", "written").unionByName(new.select(*PIXEL, "rgb24", "written"))
     return both.groupBy(*PIXEL).agg(F.max_by("rgb24", "written").alias("rgb24"), F.max("written").alias("written"))
 
 
@@ -31,7 +36,9 @@ def stream_state(pixels: DataFrame, store: Store, checkpoint: str):
     """Starts the query that merges a streaming DataFrame of pixels into the store; it ends with what is available."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            store.write(merge(store.read(STATE), batch))
+        new = latest(batch).persist()  # read for its shards and then for its pixels
+        if not new.isEmpty():
+            store.upsert(new, fold, STATE)
+        new.unpersist()
 
     return pixels.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

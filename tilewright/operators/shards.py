@@ -82,3 +82,10 @@ def encoding_stats(tiles: DataFrame, shard_tiles: int) -> DataFrame:
     """sx, sy, sparse, dense (tiles of each encoding), largest (pixels of the fullest tile)."""
     kinds = [F.count_if(F.col("encoding") == k).alias(k) for k in ("sparse", "dense")]
     return in_shards(tiles, shard_tiles).groupBy("sx", "sy").agg(*kinds, F.max("count").alias("largest"))
+
+
+def stored_stats(records: DataFrame, shard_tiles: int) -> DataFrame:
+    """sx, sy, tiles, sums and histograms by encoding and compression of stored records(x, y, count, encoding, compression, size, uncompressed_size)."""
+    kinds = [F.count_if(F.col(c) == k).alias(k) for c, k in (("encoding", "sparse"), ("encoding", "dense"), ("compression", "zstd"), ("compression", "none"))]
+    sums = [F.sum(c).cast("long").alias(n) for c, n in (("count", "visible_pixels"), ("size", "stored_bytes"), ("uncompressed_size", "uncompressed_bytes"))]
+    return in_shards(records, shard_tiles).groupBy("sx", "sy").agg(F.count("*").alias("tiles"), *kinds, *sums, F.max("count").alias("largest"))

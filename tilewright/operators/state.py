@@ -48,6 +48,13 @@ def merge_overlay(state: DataFrame, overlay: DataFrame) -> DataFrame:
     return state.join(new, PIXEL, "full").select(*PIXEL, F.coalesce("new_rgb", "rgb24").alias("rgb24"))
 
 
+def merge_dense(state: DataFrame, overlay: DataFrame) -> DataFrame:
+    """x, y, dense: dense records(x, y, dense) with those of an overlay on top, where 0 is transparent; the same result as merge_overlay()."""
+    new = overlay.select("x", "y", F.col("dense").alias("new"))
+    over = F.zip_with("dense", "new", lambda below, above: F.when(above != 0, above).otherwise(below))
+    return state.join(new, ["x", "y"], "full").select("x", "y", F.when(F.col("new").isNull(), F.col("dense")).when(F.col("dense").isNull(), F.col("new")).otherwise(over).alias("dense"))
+
+
 def keep_last_tile(tiles: DataFrame, arrival: str) -> DataFrame:
     """Of tiles sent twice in a snapshot the last to arrive."""
     last = Window.partitionBy("tag_ts", "x", "y").orderBy(F.desc(arrival))

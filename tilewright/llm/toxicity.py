@@ -221,10 +221,12 @@ def _graded(model):
                 else:
                     hashes, w, t = model
                     words = Words(*utf8(part.column(1)))
-                    text, found, counts = _counted(words)
+                    text, found = features(words)
                     at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-                    hit = hashes[at] == found
-                    eta = np.bincount(text[hit], weights=np.log1p(counts[hit]) * w[at[hit]], minlength=n)
+                    hit = np.flatnonzero(hashes[at] == found)
+                    # only the selected features are counted
+                    cell, counts = np.unique(text[hit] * len(hashes) + at[hit], return_counts=True)
+                    eta = np.bincount(cell // len(hashes), weights=np.log1p(counts) * w[cell % len(hashes)], minlength=n)
                     above = 1 / (1 + np.exp(-np.clip(eta[:, None] - t[None], -50, 50)))
                     above[words.counts == 0] = 0
                 yield pa.RecordBatch.from_arrays(

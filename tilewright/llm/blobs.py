@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from tilewright.llm.common import release
+
 
 def dealt(pid: np.ndarray, *columns: np.ndarray):
     """(pid, blob) for each pid: its entries' columns, one after another."""
@@ -35,6 +37,7 @@ def blob_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 def by_kind(batches):
     """The blobs of a partition, by kind."""
+    release()
     found: dict[int, list[bytes]] = {}
     for batch in batches:
         for kind, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):

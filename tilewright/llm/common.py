@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -99,6 +100,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def release() -> None:
+    """Gives what a Python worker has freed back to the system, since idle workers stay for a while."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES):
     """Slices of the batch whose texts hold about limit bytes; a longer text is a slice of its own."""
     _, at = utf8(batch.column(batch.schema.get_field_index(column)))
@@ -108,6 +117,7 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES):
         end = min(n, max(end, start + 1))
         yield batch.slice(start, end - start)
         start = end
+    release()
 
 
 def cut(data: np.ndarray, at: np.ndarray) -> list[bytes]:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.blobs import blob_batch, by_kind, dealt, gathered
-from tilewright.llm.common import blocks, drop, keep, lookup, mix64, ranges, semi_filter, small_batches, text_of, utf8, wide
+from tilewright.llm.common import blocks, drop, keep, lookup, mix64, ranges, release, semi_filter, small_batches, text_of, utf8, wide
 from tilewright.llm.components import components
 from tilewright.llm.shingles import shingle_sets
 
@@ -304,6 +304,7 @@ def _verify(batches):
             sets.append(np.frombuffer(row[5], np.uint64))
     if ids:
         yield links(keys, ids, home, sets)
+    release()
 
 
 def _sets(batches):

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.blobs import blob_batch, by_kind, dealt, gathered
-from tilewright.llm.common import blocks, drop, keep, lookup, mix64, ranges, semi_filter, small_batches, text_of, utf8, wide
+from tilewright.llm.common import blocks, drop, keep, lookup, mix64, ranges, release, semi_filter, small_batches, text_of, utf8, wide
 from tilewright.llm.shingles import _BYTE, _PLACE
 from tilewright.llm.suffix_arrays import common_prefixes, suffix_arrays
 
@@ -475,6 +475,7 @@ def _shards(batches):
     offsets = np.concatenate([[0], ends * 16]).astype(np.int32)
     cells = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(pairs)])
     yield pa.RecordBatch.from_arrays([pa.array(anchor[told]), pa.array(code[told]), pa.array(number[told]), cells], names=["l_anchor", "l_code", "l_n", "least"])
+    release()
 
 
 def _marks(batches):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -69,6 +70,15 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def settle(spark: SparkSession) -> None:
+    """Lets Spark's cleaner see that what earlier plans broadcast is no longer in use, so that executors drop it.
+
+    For once between the stages of a long run; a driver that lives long does so by itself from time to time.
+    """
+    gc.collect()  # the plans that Python holds
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop(df: DataFrame) -> None:
     """Removes a table of keep() that no plan still to run will read."""
     spark = df.sparkSession
@@ -77,8 +87,8 @@ def drop(df: DataFrame) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keeps what goes to Python at once to 8 MB (longer texts alone), whatever the length of the rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    """Keeps what goes to Python at once to 4 MB (longer texts alone), whatever the length of the rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def wide(spark: SparkSession) -> int:

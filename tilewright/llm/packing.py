@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from tilewright.llm.common import blocks, keep, numbered, ranges, small_batches, text_of, utf8, worker_cache
 
 #: Words whose ids a worker remembers before it starts anew (those of one block come on top).
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 #: Bytes of text that are encoded at once.
-ENCODED_BYTES = 4 << 20
+ENCODED_BYTES = 1 << 20
 
 
 #: Words of printable ASCII without apostrophes and '<', and of the letters of Latin-1.

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import SPACE, documents, keep, semi_filter, text_of
+from tilewright.llm.common import SPACE, documents, keep, semi_filter, settle, text_of
 from tilewright.llm.exact_dedup import exact_dedup
 from tilewright.llm.jaccard_join import jaccard_join
 from tilewright.llm.mixing import mix
@@ -28,11 +28,13 @@ from tilewright.llm.queries import tokenizer_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the weak-label classifier rejects."""
+    settle(spark)
     return keep_good(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
+    settle(spark)
     found = keep(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "copies")
     dropped = keep(found.where("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "dropped")
     # only rows whose id may be a dropped one's are looked up by their text
@@ -52,6 +54,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without a doc_id stay if they are linked with none that has one; of rows with one
     doc_id all stay if one does.
     """
+    settle(spark)
     found = keep(jaccard_join(docs).select("doc_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("first")).distinct(), "near")
     others = found.where("not first").select(F.col("doc_id").alias("gone_id"))
     firsts = found.where("first").select(F.col("doc_id").alias("first_id"))
@@ -61,6 +64,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the copies of a row are alike."""
+    settle(spark)
     # rows with the same doc_id and source are taken alike
     copies = mix(docs).where("copies > 0").select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("copies").cast("int").alias("_copies_")).distinct()
     rows = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mix_id"]) & docs["source"].eqNullSafe(copies["mix_source"]))
@@ -69,6 +73,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, in sequences of at most 2048 tokens."""
+    settle(spark)
     return pack(docs, tokenizer_path())
 
 

@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from tilewright.llm.common import blocks, keep, numbered, ranges, small_batches, text_of, utf8, worker_cache
 
 #: Words whose ids a worker remembers before it starts anew (those of one block come on top).
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 19
 #: Bytes of text that are encoded at once.
-ENCODED_BYTES = 1 << 20
+ENCODED_BYTES = 4 << 20
 
 
 #: Words of printable ASCII without apostrophes and '<', and of the letters of Latin-1.
@@ -60,6 +60,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        self.remembered = REMEMBERED
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -102,7 +103,7 @@ class WordEncoder:
         words = pc.dictionary_encode(split.flatten())
         distinct = words.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.place]
-        if len(self.place) + len(new) > REMEMBERED:
+        if len(self.place) + len(new) > self.remembered:
             self.forget()
             new = distinct
         self.learn(new)
@@ -114,14 +115,15 @@ class WordEncoder:
         return ids, at
 
 
-def pieces_of(path: str, capacity: int):
+def pieces_of(path: str, capacity: int, remembered: int | None = None, at_once: int = ENCODED_BYTES):
     def run(batches):
         cache = worker_cache()
         if path not in cache:
             cache[path] = WordEncoder(path)
         encoder = cache[path]
+        encoder.remembered = remembered or REMEMBERED
         for batch in batches:
-            for part in blocks(batch, "text", ENCODED_BYTES):
+            for part in blocks(batch, "text", at_once):
                 ids, at = encoder.encode(part.column(1))
                 n_ids = np.diff(at) + 1  # with the final 0
                 n_pieces = -(-n_ids // capacity)
@@ -266,7 +268,7 @@ def placed(table: np.ndarray):
     return run
 
 
-def pack(docs: DataFrame, path: str, capacity: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = 2048, remembered: int = REMEMBERED, at_once: int = ENCODED_BYTES) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for each piece of docs(doc_id, text).
 
     path: the tokenizer's file, which the executors read (ship it with --files, or install it).
@@ -274,7 +276,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048) -> DataFrame:
     small_batches(docs.sparkSession)
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long"
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = keep(numbered(narrow, "pieces", "length", run=pieces_of(path, capacity), fields=fields), "ranked")
+    rows = keep(numbered(narrow, "pieces", "length", run=pieces_of(path, capacity, remembered, at_once), fields=fields), "ranked")
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     fixed, left = dominant_sets(counts, capacity)
     table = slots(fixed + best_fit(left, capacity))

@@ -74,7 +74,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, in sequences of at most 2048 tokens."""
     settle(spark)
-    return pack(docs, tokenizer_path())
+    # the workers of a long run hold less, so that its executors keep within their memory
+    return pack(docs, tokenizer_path(), remembered=1 << 17, at_once=1 << 20)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

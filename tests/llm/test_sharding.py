@@ -84,3 +84,10 @@ def test_near_equal_and_a_large_group(spark):
     alone = max(loads.values())
     rest = sorted(loads.values())[:-1]
     assert alone > 2 * rest[-1] and rest[-1] - rest[0] <= smallest and len(rest) == 15
+
+
+def test_a_group_of_most_rows(spark):
+    """Its rows find their shard by a broadcast, those of the others by a shuffle."""
+    rows = [(i, prose(i, 20 + i % 40)) for i in range(700)] + [(10_000 + i, prose(7, 30)) for i in range(1300)]
+    found = check(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    assert len({f.shard for f in found if f.doc_id >= 10_000}) == 1 and len({f.shard for f in found}) == 16

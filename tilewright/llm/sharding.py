@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import keep, mix64, numbered, text_of
+from tilewright.llm.common import keep, lookup, mix64, numbered, text_of
 
 #: A group of more than 1 / LARGE of all bytes is placed on its own.
 LARGE = 1024
@@ -146,7 +146,7 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
         ),
         "rows",
     )
-    groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
+    groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("copies"))
     total = rows.agg(F.sum("size")).first()[0] or 0
     groups = groups.withColumn("class", F.when(F.col("bytes") * LARGE > total, F.lit(-1)).otherwise(size_class(F.col("bytes"))))
     ranked = keep(numbered(groups, "groups", "class"), "ranked")
@@ -167,9 +167,11 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
         for batch in batches:
             kind, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("class", "class_rank"))
             place = found[np.searchsorted(code, ((kind + 1) << 44) | rank, side="right") - 1, 2]
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("key")), pa.array(place.astype(np.int32))], names=["key", "shard"])
+            key, copies = (batch.column(batch.schema.get_field_index(c)) for c in ("key", "copies"))
+            yield pa.RecordBatch.from_arrays([key, copies, pa.array(place.astype(np.int32))], names=["g_key", "copies", "shard"])
 
-    placed = rows.join(ranked.mapInArrow(binned, "key binary, shard int"), "key").drop("key")
+    found_bins = ranked.mapInArrow(binned, "g_key binary, copies long, shard int")
+    placed = lookup(rows, found_bins, [("key", "g_key")], "copies", rows.count()).drop("key", "g_key", "copies")
     out = numbered(placed, "placed", "shard")
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("class_rank").alias("slot"), F.lit(None).cast("int").alias("grown_shard")

@@ -22,6 +22,13 @@ def test_odd_rows(odd):
     assert sorted(map(repr, (tuple(r)[:7] for r in found.collect()))) == brute([(r.doc_id, r.text) for r in odd.collect()])
 
 
+def test_rows_without_doc_id(spark):
+    """A third of the rows and more share one doc_id or have none."""
+    rows = [(None if i % 2 else 7 if i % 3 else i, prose(i % 150, 8 + i % 20)) for i in range(300)]
+    found = S.simhash(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sorted(map(repr, (tuple(r)[:7] for r in found.collect()))) == brute(rows)
+
+
 def test_one_row_and_none(spark, empty):
     one = S.simhash(spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")).first()
     assert (one.edited_sha256, one.near_next, one.n_near) == (hashlib.sha256(b"abcdab").hexdigest(), 1.0, None)

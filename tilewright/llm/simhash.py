@@ -34,6 +34,8 @@ BITS = 128
 RADIUS = 28
 #: Prints of a block of queries and of the index, and probes of a table at once.
 QUERY_BLOCK, INDEX_BLOCK, PROBES = 4096, 1 << 16, 1 << 17
+#: Code points of a text by which rows of one doc_id are dealt.
+BEGINNING = 64
 #: Blocks of the bits, each the key of a table.
 TABLES = 8
 
@@ -208,7 +210,8 @@ def simhash(docs: DataFrame, radius: int = RADIUS, every: int = 50) -> DataFrame
     small_batches(spark)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     order = [F.col("doc_id").desc_nulls_last()]
-    dealt = narrow.repartitionByRange(wide(spark), *order).sortWithinPartitions(*order, "text")
+    # rows of one doc_id (or of none) part by the beginnings of their texts
+    dealt = narrow.repartitionByRange(wide(spark), *order, F.substring("text", 1, BEGINNING)).sortWithinPartitions(*order, "text")
     rows = keep(dealt.mapInArrow(_neighbours, _FIELDS + ", part int, kind int, text string"), "prints")
     # two rows for each partition: its last one meets the first one of the next that has rows, the last partition the first
     held = sorted(r["part"] for r in rows.where("kind = 2").select("part").collect())

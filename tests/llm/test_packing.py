@@ -109,3 +109,19 @@ def test_forgetting(monkeypatch):
 
 def test_empty(empty):
     assert P.pack(empty, tokenizer_path()).count() == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_any_tokenizer(name):
+    """The shortcuts are used only with a tokenizer that they suit."""
+    import os
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = os.path.join(os.path.dirname(tokenizer_path()), name)
+    encoder, plain = P.WordEncoder(path), Tokenizer.from_file(path)
+    assert encoder.by_word == encoder.plain == (name == "word_bpe_49k.json")
+    texts = ["", "One  two\tthree ", "It's 12,5 % of ÄRGER\n\nand e\u0301, \u4e2d\u6587", *P.PROBES]
+    ids, at = encoder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]

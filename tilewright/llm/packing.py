@@ -35,6 +35,14 @@ REMEMBERED = 1 << 19
 #: Bytes of text that are encoded at once.
 ENCODED_BYTES = 4 << 20
 
+#: Texts on which the shortcuts of WordEncoder must agree with the tokenizer itself.
+PROBES = (
+    "Two words",
+    "a  b\tc\nd ",
+    "Mixed CASE, 12.5% of x_y/z (a-b) = [c] & {d}! 2024",
+    "Äpfel ÉTÉ straße Ærø façade naïve, ÿ",
+    "it's don't we'll \u0416\u0443\u043a \u4e2d\u6587 e\u0301 <b> caf\u00e9 \U0001d11e",
+)
 
 #: Words of printable ASCII without apostrophes and '<', and of the letters of Latin-1.
 PLAIN = re.compile(r"[!-&(-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
@@ -53,10 +61,11 @@ VISIBLE = visible_bytes()
 
 
 class WordEncoder:
-    """Ids of whole texts from the ids of their distinct words.
+    """Ids of whole texts, where possible from the ids of their distinct words.
 
-    The tokenizer never joins characters across white space, so a text's ids are those of its
-    words in order, and each distinct word is encoded once.
+    A tokenizer that never joins characters across white space gives a text the ids of its
+    words in order, so each distinct word is encoded once. Both this and the shortcut of
+    word_ids() are tried on PROBES first; what a tokenizer fails isn't used with it.
     """
 
     def __init__(self, path: str):
@@ -66,6 +75,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.plain = True
+        self.plain = all(self.word_ids(w) == self.whole_ids(w) for p in PROBES for w in p.split())
+        self.by_word = all([i for w in p.split() for i in self.whole_ids(w)] == self.whole_ids(p) for p in PROBES)
         self.forget()
 
     def forget(self) -> None:
@@ -74,18 +86,23 @@ class WordEncoder:
         self.start = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def whole_ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def word_ids(self, word: str) -> list[int]:
         """What the tokenizer gives for one word; for plain Latin words by its model alone.
 
         Such words are already in normal form, their lower case doesn't depend on neighbours,
         and PLAIN leaves out what its patterns treat specially.
         """
+        if not self.plain:
+            return self.whole_ids(word)
         if word.isascii() and word.isalpha():
             return [t.id for t in self.model.tokenize(word.lower())]
         if PLAIN.fullmatch(word):
             pieces = PIECES.findall(word.lower())
             return [t.id for p in pieces for t in self.model.tokenize(p.encode().decode("latin-1").translate(VISIBLE))]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        return self.whole_ids(word)
 
     def learn(self, words: list[str]) -> None:
         found = [self.word_ids(w) for w in words]
@@ -99,6 +116,9 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and their n + 1 offsets."""
+        if not self.by_word:
+            found = [np.array(self.whole_ids(t), np.uint32) for t in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, np.uint32), *found]), np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int64)
         split = pc.ascii_split_whitespace(texts)
         words = pc.dictionary_encode(split.flatten())
         distinct = words.dictionary.to_pylist()
